@@ -42,7 +42,7 @@ def escape_non_ascii(json: Column) -> Column:
 
     def escaped(char: Column) -> Column:
         units = F.lower(F.hex(F.encode(char, "UTF-16BE")))
-        return F.when(char.rlike(_NON_ASCII), F.regexp_replace(units, "(.{4})", r"\\\\u$1")).otherwise(char)
+        return F.when(char.rlike(_NON_ASCII), F.regexp_replace(units, "(.{4})", r"\\u$1")).otherwise(char)
 
     return F.when(
         json.rlike(_NON_ASCII), F.array_join(F.transform(F.split(json, ""), escaped), "")

@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlake.functions.predicates import matches
-from siftlake.operators.profile import count_where
+from siftlake.operators.profile import row_count, rows_per_value
 from siftlake.schemas import ref
 from siftlake.workspace import new_path
 
+
 def without(df: DataFrame, condition: str | None) -> DataFrame:
     """The rows a delete keeps: those for which the predicate is FALSE or NULL."""
     return df.filter(~matches(condition))
 
 
 def delete_preview(df: DataFrame, condition: str | None = None) -> DataFrame:
-    """``total_rows, rows_to_delete`` without touching the data."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        count_where(matches(condition)).alias("rows_to_delete"),
+    """``total_rows, rows_to_delete`` without touching the data.
+
+    The predicate is a filter of its own, so Parquet statistics and partitions prune what it reads; counting all rows
+    needs no column.
+    """
+    doomed = df if condition is None else df.filter(condition)
+    return doomed.agg(F.count(F.lit(1)).alias("rows_to_delete")).select(
+        row_count(df).scalar().alias("total_rows"), "rows_to_delete"
     )
 
 
@@ -65,17 +72,16 @@ def delete_from_table(spark: SparkSession, table: str, condition: str | None = N
     """
     df = spark.table(table)
     partition = _partition_column(spark, table)
-    per_partition = df.groupBy(ref(partition).alias("part")).agg(
-        F.count(F.lit(1)).alias("n"), count_where(matches(condition)).alias("gone")
-    )
-    # One row per partition: the catalog itself holds that list.
-    counted = per_partition.select(F.col("part").cast("string"), "n", "gone").collect()
-    rewritten = [r["part"] for r in counted if 0 < r["gone"] < r["n"]]
+    rows_before = df.count()
+    # One row per partition touched: the catalog itself holds such a list.
+    gone = _rows_by_partition(df if condition is None else df.filter(condition), partition)
+    held = _rows_by_partition(df.filter(_in_partitions(partition, gone)), partition) if gone else {}
+    emptied = [value for value, n in gone.items() if n == held[value]]
+    rewritten = [value for value, n in gone.items() if n < held[value]]
     if rewritten:
         _rewrite(spark, table, df, partition, rewritten, condition)
-    emptied = [r["part"] for r in counted if r["gone"] == r["n"]]
-    if len(emptied) == len(counted):
-        spark.sql(f"INSERT OVERWRITE {table} SELECT * FROM ({_no_rows(df, df.columns)})")
+    if emptied and sum(gone.values()) == rows_before:
+        spark.sql(f"INSERT OVERWRITE {table} {_no_rows(df, df.columns)}")
     else:
         nothing = _no_rows(df, [c for c in df.columns if c != partition])
         # One after the other: concurrent writes below one table folder disturb each other's commits.
@@ -83,7 +89,7 @@ def delete_from_table(spark: SparkSession, table: str, condition: str | None = N
             literal = "NULL" if value is None else f"'{value}'"
             spark.sql(f"INSERT OVERWRITE {table} PARTITION (`{partition}` = {literal}) {nothing}")
     spark.catalog.refreshTable(table)
-    return _summary(spark, sum(r["n"] for r in counted), spark.table(table).count())
+    return _summary(spark, rows_before, spark.table(table).count())
 
 
 def _partition_column(spark: SparkSession, table: str) -> str:
@@ -93,17 +99,26 @@ def _partition_column(spark: SparkSession, table: str) -> str:
     return columns[0]
 
 
+def _rows_by_partition(df: DataFrame, partition: str) -> dict[str | None, int]:
+    counts = rows_per_value(df, partition).select(ref(partition).cast("string"), "count")
+    return {value: n for value, n in counts.collect()}
+
+
+def _in_partitions(partition: str, values: Iterable[str | None]) -> Column:
+    as_text = ref(partition).cast("string")
+    chosen = as_text.isin([v for v in values if v is not None])
+    return chosen | as_text.isNull() if None in values else chosen
+
+
 def _no_rows(df: DataFrame, columns: list[str]) -> str:
     fields = ", ".join(f"cast(null AS {df.schema[c].dataType.simpleString()}) AS `{c}`" for c in columns)
     return f"SELECT {fields} WHERE false"
 
 
-def _rewrite(spark, table, df, partition, values, condition) -> None:
-    as_text = ref(partition).cast("string")
-    chosen = as_text.isin([v for v in values if v is not None])
-    if None in values:
-        chosen = chosen | as_text.isNull()
-    kept = without(df.filter(chosen), condition)
+def _rewrite(
+    spark: SparkSession, table: str, df: DataFrame, partition: str, values: list[str | None], condition: str | None
+) -> None:
+    kept = without(df.filter(_in_partitions(partition, values)), condition)
     # The rows are written out before their partitions are replaced: a query must not overwrite what it reads.
     staged = new_path(spark, "delete")
     kept.write.parquet(staged)

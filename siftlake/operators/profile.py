@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftlake.functions.columns import text_length
 from siftlake.schemas import PARTITION_COLUMN, is_fractional, numeric_columns, ref, string_columns
@@ -85,12 +86,26 @@ def rows_per_date(df: DataFrame, column: str = PARTITION_COLUMN, first: int | No
     return counts if first is None else counts.limit(first)
 
 
+# Texts above this size are told apart by their SHA-256 instead of being shuffled whole.
+_LONG_KEY_BYTES = 64
+
+
+def _key(df: DataFrame, name: str) -> Column:
+    c = ref(name)
+    if not any(f.name == name and f.dataType == T.StringType() for f in df.schema.fields):
+        return c
+    is_long = F.octet_length(c) > _LONG_KEY_BYTES
+    return F.struct(is_long.alias("long"), F.when(is_long, F.sha2(c, 256)).otherwise(c).alias("key"))
+
+
 def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
     """``total_rows, distinct_keys, duplicates`` for a key; NULLs in a key equal each other.
 
-    Only the key columns are read, and a key repeated within a task crosses the shuffle once.
+    Only the key columns are read, a key repeated within a task crosses the shuffle once, and whole documents can be
+    keys: long texts are replaced by their digest first.
     """
-    per_key = df.groupBy(*[ref(k) for k in keys]).agg(F.count(F.lit(1)).alias("copies"))
+    keyed = df.select(*[_key(df, k).alias(f"key_{i}") for i, k in enumerate(keys)])
+    per_key = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("copies"))
     return per_key.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
         F.count(F.lit(1)).alias("distinct_keys"),

@@ -190,9 +190,8 @@ def _schema(df: DataFrame, suite: QualitySuite) -> _Part:
 def _per_column(check, suite, violations: Mapping[str, Column], bad_status, good, bad, fixed=None) -> _Part:
     measures = {f"{check}_{i}": count_where(v) for i, v in enumerate(violations.values())}
     counts = dict(zip(violations, measures))
-    return _Part(
-        _draft(check, counts, suite.deductions[check], bad_status, _text(good), _text(bad), fixed), measures
-    )
+    detail = _text(good) if fixed is None else f"if({fixed} is null, {_text(good)}, 'no rows')"
+    return _Part(_draft(check, counts, suite.deductions[check], bad_status, detail, _text(bad), fixed), measures)
 
 
 def _nulls(df: DataFrame, suite: QualitySuite) -> _Part:
@@ -286,7 +285,7 @@ def _distribution(df: DataFrame, suite: QualitySuite) -> DataFrame | _Part:
         {column: "if(skewed, 1, 0)"},
         suite.deductions["distribution"],
         "WARN",
-        "'balanced'",
+        "if(partitions = 0, 'no rows', 'balanced')",
         "'data skew detected'",
         fixed="if(partitions = 0, 'SKIP', null)",
     )
