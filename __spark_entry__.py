@@ -26,7 +26,6 @@ from siftlake.schemas import (
     CRITICAL_COLUMNS,
     EVENT_SCHEMA,
     EXPECTED_COLUMNS,
-    string_columns,
     with_types,
 )
 from siftlake.sinks.exports import write_by_date
@@ -71,16 +70,16 @@ def _flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flawed events with the user as id: many rows per id."""
-    users = _table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("id"),
+    users = _table(spark, sf_dir, "events").withColumnsRenamed({"event_id": "kafka_offset", "user_id": "id"})
+    return users.select(
+        "id",
         "value",
         F.nullif("event_type", F.lit("error")).alias("type"),
         epoch_millis(F.col("ts")).alias("timestamp"),
-        F.pmod("event_id", F.lit(4)).cast("int").alias("kafka_partition"),
-        F.col("event_id").alias("kafka_offset"),
+        F.pmod("kafka_offset", F.lit(4)).cast("int").alias("kafka_partition"),
+        "kafka_offset",
         F.col("ts").cast("timestamp").alias("ingested_at"),
     )
-    return users
 
 
 def _banded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,9 +366,6 @@ def silver_clean(spark, sf_dir):
     return layers.silver_events(_by_user(spark, sf_dir)).drop("processed_at")
 
 
-_ROUNDED = {"avg_value": F.round}
-
-
 def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumn("avg_value", F.round("avg_value", 6))
 
