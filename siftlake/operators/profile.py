@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftlake.functions.columns import text_length
-from siftlake.schemas import PARTITION_COLUMN, is_fractional, numeric_columns, ref, string_columns
+from siftlake.schemas import (
+    PARTITION_COLUMN,
+    is_fractional,
+    literal,
+    numeric_columns,
+    quoted,
+    ref,
+    string_columns,
+)
 
 
 def count_where(condition: Column) -> Column:
@@ -15,14 +23,15 @@ def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
-def unpivot_row(row: DataFrame, structs: list[Column]) -> DataFrame:
-    """A one-row frame as one row per struct."""
-    return row.select(F.inline(F.array(*structs)))
+def unpivot_row(row: DataFrame, structs: list[str]) -> DataFrame:
+    """A one-row frame as one row per struct, given as SQL."""
+    return row.select(F.expr(f"inline(array({', '.join(structs)}))"))
 
 
-def measured(df: DataFrame, name: str) -> Column:
-    """A numeric column for statistics, NaN left out: one NaN would turn mean and deviation into NaN."""
-    return F.when(~F.isnan(ref(name)), ref(name)) if is_fractional(df, name) else ref(name)
+def measured(df: DataFrame, name: str) -> str:
+    """A numeric column for statistics, as SQL; NaN left out: one NaN would turn mean and deviation into NaN."""
+    c = quoted(name)
+    return f"case when not isnan({c}) then {c} end" if is_fractional(df, name) else c
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -39,22 +48,19 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
     measures, rows = [], []
     for i, name in enumerate(columns):
         c = measured(df, name)
-        nan = F.count(ref(name)) - F.count(c) if is_fractional(df, name) else F.lit(0).cast("long")
-        measures += [
-            F.min(c).cast("double").alias(f"min_{i}"),
-            F.max(c).cast("double").alias(f"max_{i}"),
-            F.avg(c).cast("double").alias(f"avg_{i}"),
-            F.stddev_samp(c).alias(f"stddev_{i}"),
-            F.count(c).alias(f"count_{i}"),
-            nan.alias(f"nan_count_{i}"),
-        ]
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                *[F.col(f"{m}_{i}").alias(m) for m in ("min", "max", "avg", "stddev", "count", "nan_count")],
-            )
-        )
-    return unpivot_row(df.agg(*measures), rows)
+        nan = f"count({quoted(name)}) - count({c})" if is_fractional(df, name) else "0L"
+        values = {
+            "min": f"cast(min({c}) as double)",
+            "max": f"cast(max({c}) as double)",
+            "avg": f"cast(avg({c}) as double)",
+            "stddev": f"stddev_samp({c})",
+            "count": f"count({c})",
+            "nan_count": nan,
+        }
+        measures += [f"{sql} as {key}_{i}" for key, sql in values.items()]
+        fields = ", ".join(f"'{key}', {key}_{i}" for key in values)
+        rows.append(f"named_struct('column', {literal(name)}, {fields})")
+    return unpivot_row(df.agg(*map(F.expr, measures)), rows)
 
 
 def longest_strings(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -64,8 +70,7 @@ def longest_strings(df: DataFrame, columns: list[str] | None = None) -> DataFram
         return df.sparkSession.createDataFrame([], "column string, max_length int")
     measures = [F.max(text_length(c)).alias(f"max_{i}") for i, c in enumerate(columns)]
     rows = [
-        F.struct(F.lit(c).alias("column"), F.coalesce(f"max_{i}", F.lit(0)).alias("max_length"))
-        for i, c in enumerate(columns)
+        f"named_struct('column', {literal(c)}, 'max_length', coalesce(max_{i}, 0))" for i, c in enumerate(columns)
     ]
     return unpivot_row(df.agg(*measures), rows)
 

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from siftlake.functions import predicates as P
 from siftlake.functions.columns import text_length
-from siftlake.operators.profile import count_where, duplicate_count, partition_skew
-from siftlake.schemas import is_fractional, is_integral, numeric_columns, ref, string_columns
+from siftlake.operators.profile import count_where, duplicate_count, measured, partition_skew
+from siftlake.schemas import is_fractional, is_integral, literal, numeric_columns, ref, string_columns
 
 log = logging.getLogger(__name__)
 
@@ -108,9 +108,7 @@ class _Part:
 
 
 def _text(value: str | None) -> str:
-    if value is None:
-        return "cast(null as string)"
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "cast(null as string)" if value is None else literal(value)
 
 
 def _draft(check, counts, points, bad_status=None, good=None, bad=None, fixed=None) -> str:
@@ -312,9 +310,7 @@ class Bounds:
 def _spread_measures(df: DataFrame, names: list[str]) -> dict[str, Column]:
     measures = {}
     for i, name in enumerate(names):
-        c = f"`{name.replace('`', '``')}`"
-        if is_fractional(df, name):
-            c = f"case when not isnan({c}) then {c} end"
+        c = measured(df, name)
         measures |= {
             f"avg_{i}": F.expr(f"cast(avg({c}) as double)"),
             f"stddev_{i}": F.expr(f"stddev_samp({c})"),
@@ -427,6 +423,11 @@ def findings(results: DataFrame) -> DataFrame:
     return results.select("check", F.inline("findings"))
 
 
+def failures(results: DataFrame) -> DataFrame:
+    """The results that stop a strict run, whatever the score: FAIL, INCOMPLETE and ERROR."""
+    return results.filter(F.col("status").isin("FAIL", "INCOMPLETE", "ERROR"))
+
+
 def report(results: DataFrame) -> DataFrame:
     """``passed, warned, failed, quality_score, can_upload`` in one row. SKIP, ERROR and INCOMPLETE count in no group."""
     counted = results.agg(

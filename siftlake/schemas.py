@@ -51,9 +51,19 @@ def with_types(schema: T.StructType, **types: T.DataType) -> T.StructType:
     )
 
 
+def quoted(name: str) -> str:
+    """A column name in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A string in SQL text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ref(name: str) -> Column:
     """A column by its exact top-level name, also when the name holds dots or backticks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -69,7 +69,7 @@ class IngestCheck:
 
 
 def check_ingested(spark: SparkSession, path: str, fmt: str = "parquet") -> IngestCheck:
-    table = read_path(spark, path, fmt, merge_schema=fmt == "parquet")
+    table = read_path(spark, path, fmt)
     nulls = settled(run_checks(table, QualitySuite(critical_columns=CRITICAL_COLUMNS), only=["nulls"]))
     stats = settled(dataset_stats(table))
     return IngestCheck(nulls, stats, stats.first()["total_rows"] > 0)

@@ -6,6 +6,7 @@ from siftlake.operators.quality import (
     CHECKS,
     QualitySuite,
     can_upload,
+    failures,
     findings,
     report,
     run_checks,
@@ -188,6 +189,11 @@ def test_report_and_gate(spark, rows, expected):
     assert tuple(report(scored(spark, *rows)).first()) == expected
 
 
+def test_failures(spark):
+    rows = [(s, s, 0) for s in ("PASS", "WARN", "FAIL", "SKIP", "ERROR", "INCOMPLETE")]
+    assert {r.status for r in failures(scored(spark, *rows)).collect()} == {"FAIL", "ERROR", "INCOMPLETE"}
+
+
 def test_event_suite_rules_hold_without_their_columns(spark):
     df = spark.range(5)
     assert run_checks(df, event_suite(df), only=["custom"]).first().status == "PASS"

@@ -62,12 +62,22 @@ def test_export_keeps_all_rows_and_adds_the_date(spark, tmp_path, rebalance):
     assert read_path(spark, path).count() == 50 and dates(read_path(spark, path)) == ["2024-01-01"]
 
 
-def test_one_file_per_small_date(spark, tmp_path):
+def test_scattered_dates_are_gathered_first(spark, tmp_path):
     path = tmp_path / "x"
     write_by_date(bronze(spark, 3000).repartition(16), str(path))
     assert len(list(path.glob("*/*.parquet"))) == 3
 
 
+def test_dates_in_order_are_written_without_a_shuffle(spark, tmp_path):
+    ordered = bronze(spark, 3000).withColumn(
+        "ingestion_date", F.date_add(F.lit(DAY), F.floor(F.col("id") / 600).cast("int"))
+    )
+    write_by_date(ordered, str(tmp_path / "x"))
+    files = len(list((tmp_path / "x").glob("*/*.parquet")))
+    assert 5 < files <= 5 + spark.sparkContext.defaultParallelism
+    assert read_path(spark, str(tmp_path / "x")).count() == 3000
+
+
 def test_gate(spark, tmp_path):
     good = gated_export(bronze(spark), str(tmp_path / "good"))
     assert good.exported and good.report.first().quality_score == 100
