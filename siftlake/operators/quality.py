@@ -1,8 +1,9 @@
 """Ten data-quality checks, their score and the gate.
 
-A run reads the table in at most four narrow scans, whatever the number of columns:
+A run reads the table in few narrow scans:
 
-1. one aggregate without grouping for every check that only counts rows or measures columns,
+1. one aggregate without grouping for every check that only counts rows or measures columns; a table of many columns is
+   measured in several such scans, each over columns of its own,
 2. the key columns, grouped, for duplicates,
 3. the partition column, grouped, for skew,
 4. the numeric columns that scan 1 proved to hold outliers, filtered by their bounds (the filter reaches the
@@ -19,14 +20,23 @@ import math
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftlake.functions import predicates as P
 from siftlake.functions.columns import text_length
-from siftlake.operators.profile import count_where, duplicate_count, measured, partition_skew
+from siftlake.operators.profile import (
+    BUFFERS_PER_SCAN,
+    count_where,
+    duplicate_count,
+    measured,
+    partition_skew,
+)
 from siftlake.schemas import is_fractional, is_integral, literal, numeric_columns, ref, string_columns
 
 log = logging.getLogger(__name__)
@@ -69,6 +79,7 @@ ERROR_DEDUCTIONS = {
     "encoding": 0,
     "custom": 0,
 }
+_MIN_LONG, _MAX_LONG = -(2**63), 2**63 - 1
 FULL_SCORE = 100
 PASSING_SCORE = 70
 
@@ -99,12 +110,20 @@ class QualitySuite:
     error_deductions: Mapping[str, int] = field(default_factory=lambda: dict(ERROR_DEDUCTIONS))
 
 
+class _Measure(NamedTuple):
+    """An aggregate, the column (or rule) it looks at, and how many buffers Spark keeps for it."""
+
+    column: str
+    aggregate: Column
+    buffers: int = 1
+
+
 @dataclass(frozen=True)
 class _Part:
     """One check: a draft result row as SQL over ``measures``, the aggregates of the frame it reads."""
 
     draft: str
-    measures: dict[str, Column] = field(default_factory=dict)
+    measures: dict[str, _Measure] = field(default_factory=dict)
 
 
 def _text(value: str | None) -> str:
@@ -186,7 +205,7 @@ def _schema(df: DataFrame, suite: QualitySuite) -> _Part:
 
 
 def _per_column(check, suite, violations: Mapping[str, Column], bad_status, good, bad, fixed=None) -> _Part:
-    measures = {f"{check}_{i}": count_where(v) for i, v in enumerate(violations.values())}
+    measures = {f"{check}_{i}": _Measure(c, count_where(v)) for i, (c, v) in enumerate(violations.items())}
     counts = dict(zip(violations, measures))
     detail = _text(good) if fixed is None else f"if({fixed} is null, {_text(good)}, 'no rows')"
     return _Part(_draft(check, counts, suite.deductions[check], bad_status, detail, _text(bad), fixed), measures)
@@ -220,7 +239,7 @@ def _encoding(df: DataFrame, suite: QualitySuite) -> _Part:
 def _custom(df: DataFrame, suite: QualitySuite) -> _Part:
     if not suite.rules:
         return _skip("custom", "no rules")
-    measures: dict[str, Column] = {}
+    measures: dict[str, _Measure] = {}
     counts: dict[str, str] = {}
     for i, (name, rule) in enumerate(suite.rules.items()):
         counts[name] = "cast(null as bigint)"
@@ -230,7 +249,7 @@ def _custom(df: DataFrame, suite: QualitySuite) -> _Part:
             except Exception as problem:  # a rule that raises has failed
                 log.warning("rule %s raised: %s", name, problem)
             continue
-        measure = count_where(F.expr(rule) if isinstance(rule, str) else rule)
+        measure = _Measure(name, count_where(F.expr(rule) if isinstance(rule, str) else rule))
         if _evaluable(df, [measure]):
             measures[f"custom_{i}"] = measure
             counts[name] = f"custom_{i}"
@@ -307,15 +326,15 @@ class Bounds:
         return self.low <= self.smallest and self.largest <= self.high
 
 
-def _spread_measures(df: DataFrame, names: list[str]) -> dict[str, Column]:
+def _spread_measures(df: DataFrame, names: list[str]) -> dict[str, _Measure]:
     measures = {}
     for i, name in enumerate(names):
         c = measured(df, name)
         measures |= {
-            f"avg_{i}": F.expr(f"cast(avg({c}) as double)"),
-            f"stddev_{i}": F.expr(f"stddev_samp({c})"),
-            f"min_{i}": F.expr(f"cast(min({c}) as double)"),
-            f"max_{i}": F.expr(f"cast(max({c}) as double)"),
+            f"avg_{i}": _Measure(name, F.expr(f"cast(avg({c}) as double)"), 2),
+            f"stddev_{i}": _Measure(name, F.expr(f"stddev_samp({c})"), 3),
+            f"min_{i}": _Measure(name, F.expr(f"cast(min({c}) as double)")),
+            f"max_{i}": _Measure(name, F.expr(f"cast(max({c}) as double)")),
         }
     return measures
 
@@ -337,7 +356,8 @@ def is_outlier(df: DataFrame, name: str, bounds: Bounds) -> Column:
     """Strictly outside the bounds, in a form the Parquet reader can use to skip row groups."""
     c = ref(name)
     if is_integral(df, name):
-        return (c > F.lit(math.floor(bounds.high))) | (c < F.lit(math.ceil(bounds.low)))
+        low, high = max(math.ceil(bounds.low), _MIN_LONG), min(math.floor(bounds.high), _MAX_LONG)
+        return (c > F.lit(high)) | (c < F.lit(low))
     if not is_fractional(df, name):
         c = c.cast("double")
     # NaN sorts above every number, so the largest real value keeps it out.
@@ -363,19 +383,46 @@ def _anomalies(df: DataFrame, suite: QualitySuite, names: list[str], row: Mappin
 # --- running --------------------------------------------------------------------------------------------------------
 
 
-def _evaluable(df: DataFrame, measures: Iterable[Column]) -> bool:
+def _evaluable(df: DataFrame, measures: Iterable[_Measure]) -> bool:
     """Whether Spark can resolve the aggregates on this schema; runs no job."""
     try:
-        df.agg(F.lit(1).alias("one"), *measures)
+        df.agg(F.lit(1).alias("one"), *[m.aggregate for m in measures])
         return True
     except AnalysisException:
         return False
 
 
+def _scans(measures: dict[str, _Measure]) -> list[list[str]]:
+    """The measures of each scan: those of one column together, as many columns as the buffers allow."""
+    by_column: dict[str, list[str]] = {}
+    for name, measure in measures.items():
+        by_column.setdefault(measure.column, []).append(name)
+    scans, room = [[]], BUFFERS_PER_SCAN
+    for names in by_column.values():
+        needed = sum(measures[name].buffers for name in names)
+        if needed > room and scans[-1]:
+            scans.append([])
+            room = BUFFERS_PER_SCAN
+        scans[-1] += names
+        room -= needed
+    return scans
+
+
+def _side_by_side(frames: list[DataFrame]) -> DataFrame:
+    """One-row frames as one row, computed."""
+    columns = {}
+    for frame in frames:
+        row = frame.toArrow()
+        columns |= {name: row.column(name) for name in row.column_names}
+    schema = T.StructType([f for frame in frames for f in frame.schema.fields])
+    return frames[0].sparkSession.createDataFrame(pa.table(columns), schema=schema)
+
+
 def run_checks(df: DataFrame, suite: QualitySuite, only: Iterable[str] = CHECKS) -> DataFrame:
     """One row per check: ``position, check, status, violations, detail, deduction, findings``.
 
-    ``only`` selects checks; without the anomaly check the whole run is one lazy plan.
+    ``only`` selects checks. The row of a shared scan is computed at once when the anomaly check needs its bounds or
+    the table has too many columns for one scan; otherwise the whole run is one lazy plan.
     """
     only = set(only)
     unknown = only - set(CHECKS)
@@ -388,16 +435,16 @@ def run_checks(df: DataFrame, suite: QualitySuite, only: Iterable[str] = CHECKS)
             check: part if _evaluable(df, part.measures.values()) else _error(check, suite)
             for check, part in parts.items()
         }
-    measures = {"rows": F.count(F.lit(1))}
+    measures = {"rows": _Measure("*", F.count(F.lit(1)))}
     for part in parts.values():
         measures |= part.measures
     numeric = numeric_columns(df) if "anomalies" in only else []
     measures |= _spread_measures(df, numeric)
-    shared = df.agg(*[m.alias(name) for name, m in measures.items()])
+    scans = [df.agg(*[measures[n].aggregate.alias(n) for n in names]) for names in _scans(measures)]
+    shared = _side_by_side(scans) if numeric or len(scans) > 1 else scans[0]
 
     own: list[DataFrame | _Part] = []
     if numeric:
-        shared = settled(shared)
         own.append(_anomalies(df, suite, numeric, shared.first().asDict()))
     elif "anomalies" in only:
         own.append(_skip("anomalies", "no numeric cols"))

@@ -108,3 +108,13 @@ def test_predicates(spark):
     assert count(P.matches("v > 5")) == 2 and count(~P.matches("v > 5")) == 4
     assert count(P.matches(None)) == 6
     assert count(ref("t").isin("a", "b")) == 4
+
+
+def test_profile_of_many_columns(spark):
+    df = spark.range(10).select(
+        *[(F.col("id") * i).alias(f"n{i}") for i in range(70)], *[F.lit("x" * i).alias(f"s{i}") for i in range(70)]
+    )
+    found = {r.column: r for r in profile.numeric_profile(df).collect()}
+    assert len(found) == 70 and found["n69"].max == 621
+    lengths = {r.column: r.max_length for r in profile.longest_strings(df).collect()}
+    assert len(lengths) == 70 and lengths["s69"] == 69

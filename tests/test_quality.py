@@ -219,3 +219,27 @@ def test_settled_results_need_no_more_jobs(spark):
     results = settled(run_checks(events(spark), QualitySuite(critical_columns=["id"])))
     assert "LocalTableScan" in results._jdf.queryExecution().executedPlan().toString()
     assert results.count() == 10
+
+
+def test_tables_of_many_columns(spark):
+    width = 60
+    df = spark.range(200).select(
+        *[F.when(F.col("id") != i, F.col("id") % 7).alias(f"n{i}") for i in range(width)],
+        *[F.lit("x" if i else "\ufffd").alias(f"s{i}") for i in range(width)],
+    )
+    suite = QualitySuite(
+        critical_columns=[f"n{i}" for i in range(width)], numeric_ranges={f"n{i}": (0, 5) for i in range(width)}
+    )
+    rows = {r.check: r for r in run_checks(df, suite).collect()}
+    assert rows["nulls"].violations == width and rows["nulls"].deduction == 10 * width
+    assert len(rows["anomalies"].findings) == width and rows["anomalies"].status == "PASS"
+    assert (rows["ranges"].detail, rows["encoding"].detail) == ("60 columns out of range", "1 cols with issues")
+    assert rows["row_count"].detail == "200 rows"
+    counted = run_checks(df, suite, only=["nulls", "encoding"])
+    assert counted.count() == 2
+
+
+def test_bounds_beyond_the_long_range(spark):
+    biggest = 2**63 - 1
+    df = spark.createDataFrame([(biggest,)] * 20 + [(-biggest,)], "v bigint")
+    assert check(df, "anomalies") == ("WARN", "outliers in 1 cols", 0)
