@@ -21,7 +21,7 @@ from siftlake.operators import layers, mutations, profile, quality
 from siftlake.operators.quality import QualitySuite, findings, report, run_checks
 from siftlake.plans import lake_validation
 from siftlake.plans.export import event_suite, gated_export
-from siftlake.plans.flow import fill_layers
+from siftlake.plans.flow import fill_layers, run_flow
 from siftlake.schemas import (
     CRITICAL_COLUMNS,
     EVENT_SCHEMA,
@@ -352,6 +352,14 @@ def stream_ingest(spark, sf_dir):
     return read_path(spark, table).drop("ingested_at")
 
 
+def stream_check(spark, sf_dir):
+    topic, table, checkpoint = (new_path(spark, p) for p in ("topic", "raw", "stream"))
+    _messages(spark, sf_dir).write.parquet(topic)
+    check = ingest_events(spark, MessageFiles(topic), table, checkpoint, schema=WIDE_EVENT)
+    total = check.stats.first()["total_rows"]
+    return check.nulls.select(*_SHOWN, F.lit(total).cast("long").alias("total_rows"))
+
+
 def incremental_files(spark, sf_dir):
     export, bronze, checkpoint = (new_path(spark, p) for p in ("export", "bronze", "stream"))
     events = _events(spark, sf_dir)
@@ -401,6 +409,15 @@ def table_inventory(spark, sf_dir):
     return reduce(DataFrame.unionByName, counted)
 
 
+def flow_gold(spark, sf_dir):
+    topic, root = new_path(spark, "topic"), new_path(spark, "flow")
+    publish_files(_test_events(spark, sf_dir), topic, F.pmod("id", F.lit(4)), F.col("id"))
+    prefix = f"flow_{root[-32:]}_"
+    schema = with_types(WIDE_EVENT, value=T.LongType())
+    run_flow(spark, MessageFiles(topic), root, schema=schema, layer_prefix=prefix)
+    return _rounded(spark.table(f"{prefix}gold.events_metrics")).drop("calculated_at")
+
+
 _QUERIES = (
     row_count,
     dataset_stats,
@@ -438,12 +455,14 @@ _QUERIES = (
     delete_counts,
     delete_preview,
     stream_ingest,
+    stream_check,
     incremental_files,
     silver_clean,
     gold_metrics,
     gold_by_type_date,
     gold_view,
     table_inventory,
+    flow_gold,
 )
 
 
@@ -755,6 +774,13 @@ def oracle_sql() -> dict[str, str]:
         f"count(*) FILTER (WHERE {doomed}) AS rows_to_delete FROM e",
         "stream_ingest": f'WITH {_SQL_EVENTS} SELECT id, CAST(trunc(value) AS INTEGER) AS value, type, "timestamp", '
         "kafka_partition, kafka_offset FROM e",
+        "stream_check": f"""WITH {_SQL_FLAWED}, n AS (SELECT count(*) AS total_rows,
+                count(*) FILTER (WHERE type IS NULL) AS lost FROM e)
+            SELECT 'nulls' AS "check", CASE WHEN lost > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
+                4 * lost AS violations,
+                CASE WHEN lost > 0 THEN format('id({{}}), value({{}}), type({{}}), timestamp({{}})', lost, lost, lost, lost)
+                     ELSE 'no nulls' END AS detail,
+                CAST(CASE WHEN lost > 0 THEN 40 ELSE 0 END AS INTEGER) AS deduction, total_rows FROM n""",
         "incremental_files": f"WITH {_SQL_EVENTS} {export}",
         "silver_clean": f"WITH {_SQL_BY_USER}, {_SQL_SILVER} SELECT * FROM s",
         "gold_metrics": f"WITH {_SQL_EVENTS} SELECT type AS event_type, {_METRICS} FROM e GROUP BY type",
@@ -766,4 +792,7 @@ def oracle_sql() -> dict[str, str]:
                    (SELECT count(*) FROM u) AS total_rows
             UNION ALL SELECT 'events_cleaned', 'silver', 'MANAGED', (SELECT count(*) FROM s)
             UNION ALL SELECT 'events_metrics', 'gold', 'MANAGED', (SELECT count(DISTINCT type) FROM s)""",
+        "flow_gold": """SELECT 'test_event' AS event_type, count(*) AS total_events,
+            round(avg(10 * event_id), 6) AS avg_value, min(10 * event_id) AS min_value, max(10 * event_id) AS max_value
+            FROM events""",
     }

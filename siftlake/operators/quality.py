@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftlake.functions import predicates as P
-from siftlake.functions.columns import text_length
 from siftlake.operators.profile import (
     BUFFERS_PER_SCAN,
     count_where,
@@ -226,7 +225,11 @@ def _ranges(df: DataFrame, suite: QualitySuite) -> _Part:
 
 
 def _data_types(df: DataFrame, suite: QualitySuite) -> _Part:
-    oversize = {c: text_length(c) > suite.max_string_length for c in string_columns(df)}
+    limit = suite.max_string_length
+    # A text has at least as many bytes as characters, and its bytes need no counting.
+    oversize = {
+        c: (F.octet_length(ref(c)) > limit) & (F.length(ref(c)) > limit) for c in string_columns(df)
+    }
     return _per_column("data_types", suite, oversize, "WARN", "all types valid", "%d type issues")
 
 

@@ -182,6 +182,12 @@ def test_silver_keeps_the_latest_complete_row_per_id(spark):
     assert sorted((r.id, r.value) for r in silver.collect()) == [(1, 12), (2, 20)]
 
 
+def test_repeated_delivery_and_missing_metadata(spark):
+    rows = [(1, 5, "a", 100, i) for i in range(3)]
+    df = spark.createDataFrame(rows, "id int, value int, type string, timestamp long, seen int")
+    assert [tuple(r) for r in layers.latest_by_id(df).collect()] == [(1, 5, "a", 100, 2)]
+
+
 def test_gold(spark):
     day = 86_400_000
     silver = spark.createDataFrame(
