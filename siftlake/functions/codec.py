@@ -72,11 +72,11 @@ def to_messages(df: DataFrame, partition: Column, offset: Column, charset: str =
 
 
 def message_text(messages: DataFrame, charset: str = "utf-8") -> DataFrame:
-    """Messages as ``kafka_partition, kafka_offset, value_str``."""
+    """Messages as ``kafka_partition, kafka_offset, text``."""
     return messages.select(
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
-        decode_text(F.col("value"), charset).alias("value_str"),
+        decode_text(F.col("value"), charset).alias("text"),
     )
 
 
@@ -85,8 +85,5 @@ def parse_messages(messages: DataFrame, schema: T.StructType = EVENT_SCHEMA, cha
 
     No message is dropped: what does not parse becomes NULL fields, which the null check finds.
     """
-    return (
-        message_text(messages, charset)
-        .select(F.from_json("value_str", schema).alias("data"), "kafka_partition", "kafka_offset")
-        .select("data.*", "kafka_partition", "kafka_offset")
-    )
+    events = message_text(messages, charset).withColumn("event", F.from_json("text", schema))
+    return events.select("event.*", "kafka_partition", "kafka_offset")

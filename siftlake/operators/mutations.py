@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siftlake.functions.predicates import matches
 from siftlake.operators.profile import row_count, rows_per_value
-from siftlake.schemas import ref
+from siftlake.schemas import literal, quoted, ref
 from siftlake.workspace import new_path
 
 
@@ -64,39 +64,48 @@ def delete_from_path(
 
 
 def delete_from_table(spark: SparkSession, table: str, condition: str | None = None) -> DataFrame:
-    """Delete from a date-partitioned Parquet table of the catalog; returns the same counts.
+    """Delete from a Parquet table of the catalog; returns the same counts.
 
-    Only partitions that hold matching rows are touched: those that lose all rows are emptied, those that lose some are
-    rewritten, all others stay as they are. Running it again after a failure finishes the job, since rows already gone
-    match nothing.
+    In a partitioned table only partitions that hold matching rows are touched: those that lose all rows are emptied,
+    those that lose some are rewritten, all others stay as they are. Running it again after a failure finishes the job,
+    since rows already gone match nothing. A table without partitions is rewritten as a whole.
     """
     df = spark.table(table)
-    partition = _partition_column(spark, table)
     rows_before = df.count()
+    partition = _partition_column(spark, table)
+    if partition:
+        _delete_by_partition(spark, table, df, partition, condition)
+    else:
+        _replace(spark, table, without(df, condition), partition)
+    spark.catalog.refreshTable(table)
+    return _summary(spark, rows_before, spark.table(table).count())
+
+
+def _partition_column(spark: SparkSession, table: str) -> str | None:
+    columns = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if len(columns) > 1:
+        raise ValueError(f"{table} has partition columns {columns}; one at most is supported")
+    return columns[0] if columns else None
+
+
+def _delete_by_partition(
+    spark: SparkSession, table: str, df: DataFrame, partition: str, condition: str | None
+) -> None:
     # One row per partition touched: the catalog itself holds such a list.
     gone = _rows_by_partition(df if condition is None else df.filter(condition), partition)
     held = _rows_by_partition(df.filter(_in_partitions(partition, gone)), partition) if gone else {}
     emptied = [value for value, n in gone.items() if n == held[value]]
     rewritten = [value for value, n in gone.items() if n < held[value]]
     if rewritten:
-        _rewrite(spark, table, df, partition, rewritten, condition)
-    if emptied and sum(gone.values()) == rows_before:
+        _replace(spark, table, without(df.filter(_in_partitions(partition, rewritten)), condition), partition)
+    if condition is None and emptied:
         spark.sql(f"INSERT OVERWRITE {table} {_no_rows(df, df.columns)}")
     else:
         nothing = _no_rows(df, [c for c in df.columns if c != partition])
         # One after the other: concurrent writes below one table folder disturb each other's commits.
         for value in emptied:
-            literal = "NULL" if value is None else f"'{value}'"
-            spark.sql(f"INSERT OVERWRITE {table} PARTITION (`{partition}` = {literal}) {nothing}")
-    spark.catalog.refreshTable(table)
-    return _summary(spark, rows_before, spark.table(table).count())
-
-
-def _partition_column(spark: SparkSession, table: str) -> str:
-    columns = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    if len(columns) != 1:
-        raise ValueError(f"{table} has partition columns {columns}; one is needed")
-    return columns[0]
+            value = "NULL" if value is None else literal(value)
+            spark.sql(f"INSERT OVERWRITE {table} PARTITION ({quoted(partition)} = {value}) {nothing}")
 
 
 def _rows_by_partition(df: DataFrame, partition: str) -> dict[str | None, int]:
@@ -111,25 +120,20 @@ def _in_partitions(partition: str, values: Iterable[str | None]) -> Column:
 
 
 def _no_rows(df: DataFrame, columns: list[str]) -> str:
-    fields = ", ".join(f"cast(null AS {df.schema[c].dataType.simpleString()}) AS `{c}`" for c in columns)
+    fields = ", ".join(f"cast(null AS {df.schema[c].dataType.simpleString()}) AS {quoted(c)}" for c in columns)
     return f"SELECT {fields} WHERE false"
 
 
-def _rewrite(
-    spark: SparkSession, table: str, df: DataFrame, partition: str, values: list[str | None], condition: str | None
-) -> None:
-    kept = without(df.filter(_in_partitions(partition, values)), condition)
-    # The rows are written out before their partitions are replaced: a query must not overwrite what it reads.
+def _replace(spark: SparkSession, table: str, rows: DataFrame, partition: str | None) -> None:
+    """Overwrite the partitions that the rows belong to, or the whole table when it has none."""
+    # The rows are written out before the table is touched: a query must not overwrite what it reads.
     staged = new_path(spark, "delete")
-    kept.write.parquet(staged)
+    rows.write.parquet(staged)
     # Only the partitions in the input are to be replaced. That is a session setting, so it goes into a session of its own.
     session = spark.newSession()
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    (
-        session.read.schema(df.schema)
-        .parquet(staged)
-        .hint("rebalance", partition)
-        .select(*[ref(c) for c in df.columns])
-        .write.insertInto(table, overwrite=True)
-    )
+    kept = session.read.schema(rows.schema).parquet(staged)
+    if partition:
+        kept = kept.hint("rebalance", partition)
+    kept.write.insertInto(table, overwrite=True)

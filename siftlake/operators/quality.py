@@ -78,10 +78,57 @@ ERROR_DEDUCTIONS = {
     "encoding": 0,
     "custom": 0,
 }
-_MIN_LONG, _MAX_LONG = -(2**63), 2**63 - 1
 FULL_SCORE = 100
 PASSING_SCORE = 70
 
+# What a violated check reports, and how results read. %d is a number, %s a list.
+VIOLATED = {
+    "row_count": "FAIL",
+    "schema": "INCOMPLETE",
+    "nulls": "FAIL",
+    "duplicates": "WARN",
+    "ranges": "WARN",
+    "data_types": "WARN",
+    "anomalies": "WARN",
+    "distribution": "WARN",
+    "encoding": "WARN",
+    "custom": "FAIL",
+}
+VIOLATED_TEXT = {
+    "row_count": "%d rows",
+    "schema": "missing %s",
+    "nulls": "%s",
+    "duplicates": "%d duplicates",
+    "ranges": "%d columns out of range",
+    "data_types": "%d type issues",
+    "anomalies": "outliers in %d cols",
+    "distribution": "data skew detected",
+    "encoding": "%d cols with issues",
+    "custom": "%d rules failed",
+}
+PASS_TEXT = {
+    "row_count": "%d rows",
+    "schema": "%d columns",
+    "nulls": "no nulls",
+    "duplicates": "%d duplicates",
+    "ranges": "all in range",
+    "data_types": "all types valid",
+    "anomalies": "no outliers",
+    "distribution": "balanced",
+    "encoding": "consistent",
+    "custom": "all rules passed",
+}
+SKIP_TEXT = {
+    "nulls": "no critical cols",
+    "duplicates": "no key cols",
+    "ranges": "no config",
+    "anomalies": "no numeric cols",
+    "distribution": "no partition col",
+    "custom": "no rules",
+}
+
+_NO_ROWS = "no rows"
+_MIN_LONG, _MAX_LONG = -(2**63), 2**63 - 1
 FINDINGS_TYPE = "array<struct<column:string,violations:bigint,deduction:int>>"
 Rule = Column | str | Callable[[DataFrame], bool]
 
@@ -125,103 +172,108 @@ class _Part:
     measures: dict[str, _Measure] = field(default_factory=dict)
 
 
-def _text(value: str | None) -> str:
-    return "cast(null as string)" if value is None else literal(value)
-
-
-def _draft(check, counts, points, bad_status=None, good=None, bad=None, fixed=None) -> str:
-    """A result row before its verdict.
-
-    ``counts`` maps a column or rule to the SQL of its violations; a NULL count marks a rule that could not be
-    evaluated, which costs nothing. ``good`` and ``bad`` are the SQL of the detail text, in which %d stands for the
-    number of bad entries and %s for their list. ``fixed`` names a status that depends on no data.
+def _draft(
+    check: str,
+    counts: Mapping[str, str],
+    points: int,
+    number: str = "null",
+    status: str = "null",
+    text: str = "null",
+    listed: str = "null",
+) -> str:
+    """A result row before its verdict, as SQL.
+
+    ``counts`` maps columns or rules to their violations; a NULL count marks a rule that could not be evaluated, which
+    costs nothing. ``status`` and ``text`` are what data has no say in; ``number`` and ``listed`` are what %d and %s
+    stand for unless it is the number and the list of bad entries.
     """
     entries = ", ".join(
-        f"named_struct('column', {_text(name)}, 'violations', cast({n} as bigint), "
+        f"named_struct('column', {literal(name)}, 'violations', cast({n} as bigint), "
         f"'deduction', if(({n}) > 0, {points}, 0))"
         for name, n in counts.items()
     )
-    fixed_status = fixed if fixed is not None else _text(None)
-    return (
-        f"named_struct('position', {CHECKS.index(check) + 1}, 'check', '{check}', 'fixed', {fixed_status}, "
-        f"'bad_status', {_text(bad_status)}, 'good', {good or _text(None)}, 'bad', {bad or _text(None)}, "
-        f"'findings', cast(array({entries}) as {FINDINGS_TYPE}))"
-    )
+    fields = {
+        "position": str(CHECKS.index(check) + 1),
+        "check": literal(check),
+        "fixed_status": f"cast({status} as string)",
+        "fixed_text": f"cast({text} as string)",
+        "bad_status": literal(VIOLATED[check]),
+        "bad_text": literal(VIOLATED_TEXT[check]),
+        "good_text": literal(PASS_TEXT[check]),
+        "number": f"cast({number} as bigint)",
+        "listed": f"cast({listed} as string)",
+        "findings": f"cast(array({entries}) as {FINDINGS_TYPE})",
+    }
+    return "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in fields.items()) + ")"
 
 
 def _verdicts(frame: DataFrame, drafts: Iterable[str]) -> DataFrame:
     """Result rows of a one-row frame."""
     is_bad = "f -> f.violations is null or f.violations > 0"
-    listed = "transform(bad_ones, f -> concat(f.column, '(', f.violations, ')'))"
+    bad_list = "array_join(transform(bad, f -> concat(f.column, '(', f.violations, ')')), ', ')"
     return (
         frame.select(F.expr(f"inline(array({', '.join(drafts)}))"))
-        .withColumn("bad_ones", F.expr(f"filter(findings, {is_bad})"))
+        .withColumn("bad", F.expr(f"filter(findings, {is_bad})"))
+        .withColumn("chosen_text", F.expr("if(size(bad) > 0, bad_text, good_text)"))
+        .withColumn("numbered", F.expr("replace(chosen_text, '%d', coalesce(number, size(bad)))"))
         .selectExpr(
             "position",
             "check",
-            "coalesce(fixed, if(size(bad_ones) > 0, bad_status, 'PASS')) as status",
+            "coalesce(fixed_status, if(size(bad) > 0, bad_status, 'PASS')) as status",
             "aggregate(findings, 0L, (total, f) -> total + coalesce(f.violations, 0L)) as violations",
-            "case when fixed is not null or size(bad_ones) = 0 then good "
-            f"else replace(replace(bad, '%d', size(bad_ones)), '%s', array_join({listed}, ', ')) end as detail",
+            f"coalesce(fixed_text, replace(numbered, '%s', coalesce(listed, {bad_list}))) as detail",
             "aggregate(findings, 0, (total, f) -> total + f.deduction) as deduction",
             "findings",
         )
     )
 
 
-def _skip(check: str, why: str) -> _Part:
-    return _Part(_draft(check, {}, 0, good=_text(why), fixed="'SKIP'"))
+def _skip(check: str) -> _Part:
+    return _Part(_draft(check, {}, 0, status="'SKIP'", text=literal(SKIP_TEXT[check])))
 
 
 def _error(check: str, suite: QualitySuite) -> _Part:
     lost = suite.error_deductions[check]
-    return _Part(_draft(check, {check: "1"}, lost, good="'not evaluable'", fixed="'ERROR'"))
+    return _Part(_draft(check, {check: "1"}, lost, status="'ERROR'", text="'not evaluable'"))
 
 
 # --- checks of the shared scan ------------------------------------------------------------------------------------
 
 
 def _row_count(df: DataFrame, suite: QualitySuite) -> _Part:
-    short = f"if(rows < {suite.min_rows}, 1, 0)"
-    detail = "concat(rows, ' rows')"
-    return _Part(_draft("row_count", {"*": short}, suite.deductions["row_count"], "FAIL", detail, detail))
+    too_few = f"if(rows < {suite.min_rows}, 1, 0)"
+    return _Part(_draft("row_count", {"*": too_few}, suite.deductions["row_count"], number="rows"))
 
 
 def _schema(df: DataFrame, suite: QualitySuite) -> _Part:
     missing = sorted(set(suite.expected_columns) - set(df.columns))
-    if not missing:
-        return _Part(_draft("schema", {}, 0, good=_text(f"{len(df.columns)} columns"), fixed="'PASS'"))
     names = ", ".join(missing)
-    return _Part(
-        _draft(
-            "schema",
-            {names: str(len(missing))},
-            suite.deductions["schema"],
-            good=_text(f"missing {names}"),
-            fixed="'INCOMPLETE'",
-        )
-    )
+    counts = {names: str(len(missing))} if missing else {}
+    number = str(len(df.columns))
+    return _Part(_draft("schema", counts, suite.deductions["schema"], number=number, listed=literal(names)))
 
 
-def _per_column(check, suite, violations: Mapping[str, Column], bad_status, good, bad, fixed=None) -> _Part:
+def _per_column(check: str, suite: QualitySuite, violations: Mapping[str, Column], **fixed: str) -> _Part:
     measures = {f"{check}_{i}": _Measure(c, count_where(v)) for i, (c, v) in enumerate(violations.items())}
-    counts = dict(zip(violations, measures))
-    detail = _text(good) if fixed is None else f"if({fixed} is null, {_text(good)}, 'no rows')"
-    return _Part(_draft(check, counts, suite.deductions[check], bad_status, detail, _text(bad), fixed), measures)
+    return _Part(_draft(check, dict(zip(violations, measures)), suite.deductions[check], **fixed), measures)
 
 
 def _nulls(df: DataFrame, suite: QualitySuite) -> _Part:
     if not suite.critical_columns:
-        return _skip("nulls", "no critical cols")
+        return _skip("nulls")
     missing = {c: P.is_missing(c) for c in suite.critical_columns if c in df.columns}
-    return _per_column("nulls", suite, missing, "FAIL", "no nulls", "%s", fixed="if(rows = 0, 'SKIP', null)")
+    return _per_column("nulls", suite, missing, **_skipped_if("rows = 0"))
+
+
+def _skipped_if(nothing: str) -> dict[str, str]:
+    return {"status": f"if({nothing}, 'SKIP', null)", "text": f"if({nothing}, {literal(_NO_ROWS)}, null)"}
 
 
 def _ranges(df: DataFrame, suite: QualitySuite) -> _Part:
     if not suite.numeric_ranges:
-        return _skip("ranges", "no config")
-    outside = {c: P.out_of_range(c, *limits) for c, limits in suite.numeric_ranges.items() if c in df.columns}
-    return _per_column("ranges", suite, outside, "WARN", "all in range", "%d columns out of range")
+        return _skip("ranges")
+    limits = {c: limits for c, limits in suite.numeric_ranges.items() if c in df.columns}
+    return _per_column("ranges", suite, {c: P.out_of_range(c, low, high) for c, (low, high) in limits.items()})
 
 
 def _data_types(df: DataFrame, suite: QualitySuite) -> _Part:
@@ -230,18 +282,17 @@ def _data_types(df: DataFrame, suite: QualitySuite) -> _Part:
     oversize = {
         c: (F.octet_length(ref(c)) > limit) & (F.length(ref(c)) > limit) for c in string_columns(df)
     }
-    return _per_column("data_types", suite, oversize, "WARN", "all types valid", "%d type issues")
+    return _per_column("data_types", suite, oversize)
 
 
 def _encoding(df: DataFrame, suite: QualitySuite) -> _Part:
-    names = [c for c in (tuple(suite.string_columns) or string_columns(df)) if c in df.columns]
-    broken = {c: P.has_bad_characters(c) for c in names}
-    return _per_column("encoding", suite, broken, "WARN", "consistent", "%d cols with issues")
+    names = tuple(suite.string_columns) or string_columns(df)
+    return _per_column("encoding", suite, {c: P.has_bad_characters(c) for c in names if c in df.columns})
 
 
 def _custom(df: DataFrame, suite: QualitySuite) -> _Part:
     if not suite.rules:
-        return _skip("custom", "no rules")
+        return _skip("custom")
     measures: dict[str, _Measure] = {}
     counts: dict[str, str] = {}
     for i, (name, rule) in enumerate(suite.rules.items()):
@@ -256,10 +307,7 @@ def _custom(df: DataFrame, suite: QualitySuite) -> _Part:
         if _evaluable(df, [measure]):
             measures[f"custom_{i}"] = measure
             counts[name] = f"custom_{i}"
-    draft = _draft(
-        "custom", counts, suite.deductions["custom"], "FAIL", "'all rules passed'", "'%d rules failed'"
-    )
-    return _Part(draft, measures)
+    return _Part(_draft("custom", counts, suite.deductions["custom"]), measures)
 
 
 _SHARED = {
@@ -281,15 +329,9 @@ def _duplicates(df: DataFrame, suite: QualitySuite) -> DataFrame | _Part:
     if keys is None:
         keys = ["id"] if "id" in df.columns else []
     if not keys:
-        return _skip("duplicates", "no key cols")
-    draft = _draft(
-        "duplicates",
-        {", ".join(keys): "duplicates"},
-        suite.deductions["duplicates"],
-        "WARN",
-        "'0 duplicates'",
-        "concat(duplicates, ' duplicates')",
-    )
+        return _skip("duplicates")
+    counts = {", ".join(keys): "duplicates"}
+    draft = _draft("duplicates", counts, suite.deductions["duplicates"], number="duplicates")
     try:
         return _verdicts(duplicate_count(df, list(keys)), [draft])
     except AnalysisException:
@@ -299,16 +341,9 @@ def _duplicates(df: DataFrame, suite: QualitySuite) -> DataFrame | _Part:
 def _distribution(df: DataFrame, suite: QualitySuite) -> DataFrame | _Part:
     column = suite.partition_column
     if not column or column not in df.columns:
-        return _skip("distribution", "no partition col")
-    draft = _draft(
-        "distribution",
-        {column: "if(skewed, 1, 0)"},
-        suite.deductions["distribution"],
-        "WARN",
-        "if(partitions = 0, 'no rows', 'balanced')",
-        "'data skew detected'",
-        fixed="if(partitions = 0, 'SKIP', null)",
-    )
+        return _skip("distribution")
+    counts = {column: "if(skewed, 1, 0)"}
+    draft = _draft("distribution", counts, suite.deductions["distribution"], **_skipped_if("partitions = 0"))
     try:
         return _verdicts(partition_skew(df, column, suite.skew_factor), [draft])
     except AnalysisException:
@@ -372,9 +407,7 @@ def _anomalies(df: DataFrame, suite: QualitySuite, names: list[str], row: Mappin
     suspects = [name for name in names if name in bounds and not bounds[name].all_inside]
     outside = {name: is_outlier(df, name, bounds[name]) for name in suspects}
     counts = {name: "0" for name in bounds} | {name: f"outliers_{i}" for i, name in enumerate(suspects)}
-    draft = _draft(
-        "anomalies", counts, suite.deductions["anomalies"], "WARN", "'no outliers'", "'outliers in %d cols'"
-    )
+    draft = _draft("anomalies", counts, suite.deductions["anomalies"])
     if not suspects:
         return _Part(draft)
     counted = df.filter(reduce(Column.__or__, outside.values())).agg(
@@ -450,7 +483,7 @@ def run_checks(df: DataFrame, suite: QualitySuite, only: Iterable[str] = CHECKS)
     if numeric:
         own.append(_anomalies(df, suite, numeric, shared.first().asDict()))
     elif "anomalies" in only:
-        own.append(_skip("anomalies", "no numeric cols"))
+        own.append(_skip("anomalies"))
     if "duplicates" in only:
         own.append(_duplicates(df, suite))
     if "distribution" in only:

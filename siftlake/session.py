@@ -20,7 +20,6 @@ LARGE_CONF = BASE_CONF | {
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

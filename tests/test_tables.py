@@ -157,11 +157,22 @@ def test_delete_with_a_null_partition(spark, tmp_path):
     assert tuple(mutations.delete_from_table(spark, name, "id < 10").first()) == (48, 9, 39)
 
 
-def test_delete_needs_one_partition_column(spark, tmp_path):
+def test_delete_from_a_table_without_partitions(spark, tmp_path):
     spark.sql("CREATE SCHEMA IF NOT EXISTS plain")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS plain.t (id INT) USING parquet LOCATION '{tmp_path}/t'")
+    spark.sql(f"CREATE TABLE plain.t (id INT, v STRING) USING parquet LOCATION '{tmp_path}/t'")
+    spark.sql("INSERT INTO plain.t VALUES (1, 'a'), (2, NULL), (3, 'c')")
+    assert tuple(mutations.delete_from_table(spark, "plain.t", "v = 'a'").first()) == (3, 1, 2)
+    assert sorted(r.id for r in spark.table("plain.t").collect()) == [2, 3]
+    assert tuple(mutations.delete_from_table(spark, "plain.t").first()) == (2, 2, 0)
+
+
+def test_delete_supports_one_partition_column(spark, tmp_path):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS plain")
+    spark.sql(
+        f"CREATE TABLE plain.p (id INT, a INT, b INT) USING parquet PARTITIONED BY (a, b) LOCATION '{tmp_path}/p'"
+    )
     with pytest.raises(ValueError, match="partition columns"):
-        mutations.delete_from_table(spark, "plain.t")
+        mutations.delete_from_table(spark, "plain.p")
 
 
 def test_silver_keeps_the_latest_complete_row_per_id(spark):
