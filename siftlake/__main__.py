@@ -12,7 +12,7 @@ from siftlake.operators.profile import sample_rows, schema_rows, value_frequency
 from siftlake.plans.export import gated_export
 from siftlake.plans.flow import fill_layers, run_flow
 from siftlake.plans.lake_validation import lake_checks, report_rows, schema_evolution
-from siftlake.session import make_session
+from siftlake.session import BASE_CONF, LARGE_CONF, make_session
 from siftlake.sinks.messages import publish_files, publish_topic
 from siftlake.sources.generated import DEMO_EVENTS, generate_events
 from siftlake.sources.messages import KafkaTopic, MessageFiles, MessageSource
@@ -46,7 +46,7 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> bool:
 
 def export(spark: SparkSession, args: argparse.Namespace) -> bool:
     outcome = gated_export(read_path(spark, args.table, args.format), args.target, replace_all=not args.keep_dates)
-    outcome.results.drop("findings").orderBy("position").show(truncate=False)
+    outcome.results.drop("findings").show(truncate=False)
     outcome.report.show()
     return outcome.exported
 
@@ -99,6 +99,7 @@ def flow(spark: SparkSession, args: argparse.Namespace) -> bool:
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="siftlake", description=__doc__)
+    top.add_argument("--large", action="store_true", help="settings for many terabytes")
     jobs = top.add_subparsers(dest="job", required=True)
 
     def job(run, help_text: str) -> argparse.ArgumentParser:
@@ -160,7 +161,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    return 0 if args.run(make_session(f"siftlake-{args.job}"), args) else 1
+    spark = make_session(f"siftlake-{args.job}", LARGE_CONF if args.large else BASE_CONF)
+    return 0 if args.run(spark, args) else 1
 
 
 if __name__ == "__main__":

@@ -15,9 +15,13 @@ def is_missing(name: str) -> Column:
     return ref(name).isNull()
 
 
-def out_of_range(name: str, low, high) -> Column:
+def outside(value: Column, low, high) -> Column:
     """Outside the closed range; NULL is not a violation."""
-    return (ref(name) < F.lit(low)) | (ref(name) > F.lit(high))
+    return (value < F.lit(low)) | (value > F.lit(high))
+
+
+def out_of_range(name: str, low, high) -> Column:
+    return outside(ref(name), low, high)
 
 
 def is_negative(name: str) -> Column:

@@ -129,7 +129,7 @@ def _replace(spark: SparkSession, table: str, rows: DataFrame, partition: str |
     # The rows are written out before the table is touched: a query must not overwrite what it reads.
     staged = new_path(spark, "delete")
     rows.write.parquet(staged)
-    # Only the partitions in the input are to be replaced. That is a session setting, so it goes into a session of its own.
+    # Only the partitions in the input are to be replaced. That is a session setting, so it gets a session of its own.
     session = spark.newSession()
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))

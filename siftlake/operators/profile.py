@@ -113,7 +113,7 @@ def rows_per_date(df: DataFrame, column: str = PARTITION_COLUMN, first: int | No
 
 
 # Texts above this size are told apart by their SHA-256 instead of being shuffled whole.
-_LONG_KEY_BYTES = 64
+_LONG_KEY_BYTES = 256
 
 
 def _key(df: DataFrame, name: str) -> Column:

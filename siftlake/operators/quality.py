@@ -273,7 +273,10 @@ def _ranges(df: DataFrame, suite: QualitySuite) -> _Part:
     if not suite.numeric_ranges:
         return _skip("ranges")
     limits = {c: limits for c, limits in suite.numeric_ranges.items() if c in df.columns}
-    return _per_column("ranges", suite, {c: P.out_of_range(c, low, high) for c, (low, high) in limits.items()})
+    texts = set(string_columns(df))
+    # Text that is no number is no violation, and must not fail the scan either.
+    values = {c: ref(c).try_cast("double") if c in texts else ref(c) for c in limits}
+    return _per_column("ranges", suite, {c: P.outside(values[c], low, high) for c, (low, high) in limits.items()})
 
 
 def _data_types(df: DataFrame, suite: QualitySuite) -> _Part:
@@ -512,7 +515,7 @@ def failures(results: DataFrame) -> DataFrame:
 
 
 def report(results: DataFrame) -> DataFrame:
-    """``passed, warned, failed, quality_score, can_upload`` in one row. SKIP, ERROR and INCOMPLETE count in no group."""
+    """``passed, warned, failed, quality_score, can_upload`` in one row; SKIP, ERROR and INCOMPLETE count in no group."""
     counted = results.agg(
         count_where(F.col("status") == "PASS").alias("passed"),
         count_where(F.col("status") == "WARN").alias("warned"),

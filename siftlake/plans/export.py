@@ -55,7 +55,7 @@ def gated_export(df: DataFrame, path: str, suite: QualitySuite | None = None, **
     a stored table: it is read once per scan of the checks and once more for the export.
     """
     dated = with_partition_date(df)
-    results = settled(run_checks(dated, suite or event_suite(dated)))
+    results = settled(run_checks(dated, suite or event_suite(dated)).orderBy("position"))
     summary = settled(report(results))
     exported = bool(summary.first()["can_upload"])
     if exported:

@@ -9,7 +9,7 @@ from siftlake.schemas import ref
 
 
 def test_numeric_profile_of_the_fifty_events(spark):
-    df = spark.range(50).select(F.col("id").cast("int"), (F.col("id") * 10).cast("int").alias("value"), F.lit("t").alias("s"))
+    df = spark.range(50).selectExpr("cast(id as int) as id", "cast(id * 10 as int) as value", "'t' as s")
     rows = {r.column: r for r in profile.numeric_profile(df).collect()}
     assert set(rows) == {"id", "value"}
     value = rows["value"]
@@ -54,9 +54,10 @@ def test_duplicates_treat_nulls_as_equal(spark):
 
 
 def test_duplicates_of_long_texts(spark):
-    long = "x" * 100
+    long = "x" * 300
     digest = spark.range(1).select(F.sha2(F.lit(long), 256)).first()[0]
-    df = spark.createDataFrame([(long,), (long,), (long + "y",), (digest,), ("s",), ("s",), (None,), (None,)], "t string")
+    texts = [long, long, long + "y", digest, "s", "s", None, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert tuple(profile.duplicate_count(df, ["t"]).first()) == (8, 5, 3)
 
 
@@ -69,7 +70,7 @@ def test_value_frequency_order_and_limit(spark):
 
 
 def test_rows_per_date(spark):
-    df = spark.range(24).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 12).cast("int")).alias("ingestion_date"))
+    df = spark.range(24).selectExpr("date_add(date'2024-01-01', cast(id % 12 as int)) as ingestion_date")
     rows = profile.rows_per_date(df).collect()
     assert len(rows) == 10 and rows == sorted(rows) and rows[0]["count"] == 2
     assert profile.rows_per_date(df, first=None).count() == 12
@@ -91,7 +92,8 @@ def test_stats_count_physical_partitions(spark):
 
 def test_schema_and_sample(spark):
     df = spark.range(30).withColumn("t", F.lit("x"))
-    assert [tuple(r) for r in profile.schema_rows(df).collect()] == [(0, "id", "bigint", False), (1, "t", "string", False)]
+    rows = [tuple(r) for r in profile.schema_rows(df).collect()]
+    assert rows == [(0, "id", "bigint", False), (1, "t", "string", False)]
     assert profile.sample_rows(df).count() == 10 and profile.sample_rows(df, 3).count() == 3
 
 

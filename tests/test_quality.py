@@ -88,6 +88,8 @@ def test_ranges(spark):
     assert check(df, "ranges", numeric_ranges={"a": (0, 10)}) == ("WARN", "1 columns out of range", 10)
     assert check(df, "ranges", numeric_ranges={"a": (0, 10), "b": (0, 10)}) == ("WARN", "2 columns out of range", 20)
     assert check(df, "ranges", numeric_ranges={"a": (-1, 10), "gone": (0, 1)}) == ("PASS", "all in range", 0)
+    texts = spark.createDataFrame([("5",), ("50",), ("five",), (None,)], "a string")
+    assert check(texts, "ranges", numeric_ranges={"a": (0, 10)}) == ("WARN", "1 columns out of range", 10)
     arrays = df.select(F.array("a").alias("a"))
     assert check(arrays, "ranges", numeric_ranges={"a": (0, 1)})[::2] == ("ERROR", 10)
 
