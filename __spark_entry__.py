@@ -14,8 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftlake import catalog
-from siftlake.functions.codec import CHARSETS, REPLACEMENT, decode_text, encode_row, parse_messages, to_messages
-from siftlake.functions.columns import epoch_millis, with_partition_date
+from siftlake.functions.codec import (
+    CHARSETS,
+    REPLACEMENT,
+    decode_text,
+    encode_row,
+    message_text,
+    parse_messages,
+    to_messages,
+)
+from siftlake.functions.columns import epoch_millis, stamp_ingest, with_partition_date
 from siftlake.functions.predicates import is_negative, not_in_set
 from siftlake.operators import layers, mutations, profile, quality
 from siftlake.operators.quality import QualitySuite, findings, report, run_checks
@@ -28,7 +36,7 @@ from siftlake.schemas import (
     EXPECTED_COLUMNS,
     with_types,
 )
-from siftlake.sinks.exports import write_by_date
+from siftlake.sinks.exports import write_by_date, write_plain
 from siftlake.sinks.messages import publish_files
 from siftlake.sources.generated import events_for
 from siftlake.sources.messages import MessageFiles
@@ -297,6 +305,25 @@ def partitioned_export(spark, sf_dir):
     return read_path(spark, path).select("id", "value", "type", "timestamp", "ingestion_date")
 
 
+def plain_export(spark, sf_dir):
+    path = new_path(spark, "plain")
+    for rows in (_table(spark, sf_dir, "nation").select("n_nationkey"), _table(spark, sf_dir, "orders")):
+        write_plain(rows, path)
+    return read_path(spark, path).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+def published_messages(spark, sf_dir):
+    topic = new_path(spark, "topic")
+    publish_files(_message_rows(spark, sf_dir), topic, F.pmod("id", F.lit(4)), F.col("id"))
+    return message_text(MessageFiles(topic).batch(spark))
+
+
+def ingest_stamp(spark, sf_dir):
+    stamped = stamp_ingest(_events(spark, sf_dir).drop("ingested_at"))
+    per_stamp = stamped.groupBy("ingested_at").agg(F.count(F.lit(1)).alias("n"))
+    return per_stamp.agg(F.sum("n").alias("total_rows"), F.count(F.lit(1)).alias("stamps"))
+
+
 def gated_exports(spark, sf_dir):
     path, closed_path = new_path(spark, "gated"), new_path(spark, "gated")
     opened = gated_export(_events(spark, sf_dir), path, _suite())
@@ -449,6 +476,9 @@ _QUERIES = (
     encode_events,
     ingestion_date,
     partitioned_export,
+    plain_export,
+    published_messages,
+    ingest_stamp,
     gated_exports,
     external_table,
     delete_where,
@@ -492,6 +522,8 @@ _SQL_BANDED = """
 _SQL_SILVER = """
     s AS (SELECT * FROM u WHERE id IS NOT NULL AND value IS NOT NULL AND type IS NOT NULL AND "timestamp" IS NOT NULL
           QUALIFY row_number() OVER (PARTITION BY id ORDER BY "timestamp" DESC, kafka_offset DESC) = 1)"""
+_SQL_MESSAGE = """concat('{"id":', id, ',"value":', CAST(trunc(value) AS INTEGER), ',"type":"', type, '","timestamp":',
+    "timestamp", '}')"""
 _METRICS = """CAST(count(*) AS BIGINT) AS total_events, round(avg(value), 6) AS avg_value, min(value) AS min_value,
     max(value) AS max_value"""
 
@@ -757,11 +789,14 @@ def oracle_sql() -> dict[str, str]:
         "parse_events": f"""WITH {_SQL_FLAWED} SELECT CASE WHEN type IS NOT NULL THEN id END AS id,
             CASE WHEN type IS NOT NULL THEN CAST(trunc(value) AS INTEGER) END AS value, type,
             CASE WHEN type IS NOT NULL THEN "timestamp" END AS "timestamp", kafka_partition, kafka_offset FROM e""",
-        "encode_events": f"""WITH {_SQL_EVENTS}, j AS (SELECT id, concat('{{"id":', id, ',"value":',
-                CAST(trunc(value) AS INTEGER), ',"type":"', type, '","timestamp":', "timestamp", '}}') AS message FROM e)
+        "encode_events": f"""WITH {_SQL_EVENTS}, j AS (SELECT id, {_SQL_MESSAGE} AS message FROM e)
             SELECT id, message, CAST(length(message) AS INTEGER) AS n_bytes FROM j""",
         "ingestion_date": f"WITH {_SQL_EVENTS} SELECT id, ingestion_date FROM e",
         "partitioned_export": f"WITH {_SQL_EVENTS} {export}",
+        "plain_export": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
+        "published_messages": f"""WITH {_SQL_EVENTS} SELECT kafka_partition, kafka_offset, {_SQL_MESSAGE} AS text
+            FROM e""",
+        "ingest_stamp": "SELECT count(*) AS total_rows, CAST(least(count(*), 1) AS BIGINT) AS stamps FROM events",
         "gated_exports": _sql_gated(),
         "external_table": f"WITH {_SQL_EVENTS} SELECT id, value, type, kafka_partition, kafka_offset, ingestion_date "
         "FROM e",
