@@ -19,7 +19,7 @@ def latest_by_id(df: DataFrame) -> DataFrame:
 
     The row is a maximum, so every task keeps one row per id it saw before anything is shuffled: an id that holds a
     third of the table sends a row per task, not a third of the table, to one reducer. A rank over a window gives the
-    same rows but sorts them on every column of the order, at twice the time.
+    same rows but sorts them on every column of the order, which took two thirds longer.
     """
     recency = [c for c in _RECENCY if c in df.columns]
     others = [c for c in df.columns if c not in recency and c != "id"]
