@@ -1,29 +1,73 @@
-"""Where jobs put working tables: always the folder all executors share."""
+"""Where jobs put working tables: always the folder all executors share, named by whoever runs the job."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-_SETTING = "spark.checkpoint.dir"
+# The first setting can be changed in a running session; the second is Spark's own.
+SETTINGS = ("siftlake.work.dir", "spark.checkpoint.dir")
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder named by the session.
+    """The shared folder named by the session; an error if there is none."""
+    for setting in SETTINGS:
+        if root := spark.conf.get(setting, None):
+            return root.rstrip("/")
+    raise RuntimeError(f"set {' or '.join(SETTINGS)} to a folder that the driver and every executor can reach")
 
-    A machine-local folder is made only for a local master, where the driver is the whole cluster.
-    """
-    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
+
+def use_local_root(spark: SparkSession) -> None:
+    """Name a temporary folder for a session that has none, which only a local master may use: for tests and trials."""
+    if any(spark.conf.get(setting, None) for setting in SETTINGS):
+        return
     if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siftlake-"))
-    return spark.sparkContext.getCheckpointDir()
+        raise RuntimeError(f"set {SETTINGS[1]} to a folder that the driver and every executor can reach")
+    spark.conf.set(SETTINGS[0], tempfile.mkdtemp(prefix="siftlake-"))
 
 
 def new_path(spark: SparkSession, purpose: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_root(spark)}/siftlake/{purpose}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a path and all below it, in whatever store it lies; nothing happens if it is gone already."""
+    file_system, target = _file_system(spark, path)
+    file_system.delete(target, True)
+
+
+class Scratch:
+    """Working tables of one job, below one new path.
+
+    A settled table is written once and read back: that ends its lineage, and the files outlive the executors that wrote
+    them. ``drop`` frees a table when no later step reads it; ``close`` frees all.
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark = spark
+        self.path = new_path(spark, purpose)
+        self._count = 0
+
+    def settle(self, df: DataFrame, name: str = "table") -> DataFrame:
+        self._count += 1
+        at = f"{self.path}/{self._count:03d}-{name}"
+        df.write.parquet(at)
+        settled = self.spark.read.schema(df.schema).parquet(at)
+        settled.settled_at = at
+        return settled
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            remove(self.spark, table.settled_at)
+
+    def close(self) -> None:
+        remove(self.spark, self.path)

@@ -1,4 +1,5 @@
 import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -277,14 +278,25 @@ def test_shared_folder(spark):
     assert first != second and first.startswith(workspace.shared_root(spark))
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    class Bare:
-        class conf:
-            get = staticmethod(lambda key, default: default)
+class Bare:
+    class conf:
+        get = staticmethod(lambda key, default: default)
 
-        class sparkContext:
-            master = "yarn"
-            getCheckpointDir = staticmethod(lambda: None)
+    class sparkContext:
+        master = "yarn"
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        workspace.shared_root(Bare)
+
+def test_a_shared_folder_must_be_named():
+    for use in (workspace.shared_root, workspace.use_local_root):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            use(Bare)
+
+
+def test_working_tables_go(spark):
+    scratch = workspace.Scratch(spark, "trial")
+    first, second = (scratch.settle(spark.range(n)) for n in (3, 0))
+    assert (first.count(), second.count(), second.columns) == (3, 0, ["id"])
+    scratch.drop(first)
+    assert [p.name for p in Path(scratch.path).iterdir()] == ["002-table"]
+    scratch.close()
+    assert not Path(scratch.path).exists()
