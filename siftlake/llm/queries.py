@@ -6,18 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftlake.llm import setsketch_dedup
+from siftlake.llm import fair_mixing, secret_ledger, setsketch_dedup, tree_sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_secret_blob_ledger(spark, sf_dir):
+    return secret_ledger.scan_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_setsketch_near_duplicates(spark, sf_dir):
     return setsketch_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op3_setsketch_near_duplicates,)
+def op4_weighted_tree_shards(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tree_sharding.assign(docs).drop("text")
+
+
+def op6_fair_queue_mix(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return fair_mixing.mix(docs).drop("text", "source")
+
+
+_QUERIES = (
+    op2_secret_blob_ledger,
+    op3_setsketch_near_duplicates,
+    op4_weighted_tree_shards,
+    op6_fair_queue_mix,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -25,4 +44,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_fair_queue_mix": fair_mixing.ORACLE_SQL}
