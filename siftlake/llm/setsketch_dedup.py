@@ -1,18 +1,19 @@
 """Near-duplicate groups by banded SetSketch registers, joint likelihood estimates and exact checks.
 
 1. Every document becomes its set of five-word shingles; equal sets become one node.
-2. Nodes that agree in a whole band of registers share a bucket. Each bucket links its members to its least member only.
-   Such a pair is estimated from both sketches, and checked on the full sets unless the estimate is far too low.
-3. The links found so far join nodes to components. Within a bucket, nodes of one component need no further link; nodes
-   of different components are compared with all members, block by block, again by estimate and then by full sets.
+2. Nodes that agree in a whole band of registers share a bucket. Each bucket pairs its members with its least member
+   only. Pairs are estimated from both sketches; each node's best is checked on the full sets, unless far too low.
+3. The links found so far join nodes to components. Within a bucket, nodes of one component need no further link. Nodes
+   outside the largest component are compared with all members, in blocks: by estimate first, each pair in the first band
+   it shares, then the nodes with a likely partner on their full sets. A block reports links that join its components.
 
-So a bucket of very many near copies costs one pair per member, and a bucket whose members have nothing else in common is
+So a bucket of very many near copies costs a row per member, and a bucket whose members have nothing else in common is
 still compared in full: no bucket, partner or candidate is capped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +28,17 @@ from siftlake.workspace import Scratch
 PERCENT = 75
 # An estimate from 160 registers deviates by about 0.034: a pair at the bound falls below it once in millions.
 ESTIMATE_SLACK = 0.17
-# Members of a bucket that meet in one task: nodes outside its main component, and all nodes.
+# Members of a bucket that meet in one block: nodes outside its main component, and all nodes.
 OTHERS_PER_BLOCK = 512
 NODES_PER_BLOCK = 4096
+# What a task works on at once.
+HELD_BYTES = 1 << 24
+PAIRS_AT_ONCE = 1 << 15
+MATRIX_CELLS = 1 << 22
 
-_SKETCH_SCHEMA = "n_shingles long, node binary, bands array<long>, registers binary"
+_SKETCH_SCHEMA = "n_shingles long, node binary, registers binary"
 _SET_SCHEMA = "node binary, codes array<long>"
+_PAIR_SCHEMA = "a long, b long, estimate double"
 
 
 def _node_ids(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -60,14 +66,11 @@ def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
     codes, bounds = shingle_sets(Words(batch["text"]))
     n = np.diff(bounds)
     registers = setsketch.sketch(codes, bounds)
-    keys = setsketch.band_keys(registers)
-    keys = lists(keys[n > 0].reshape(-1), np.concatenate([[0], np.cumsum(np.where(n > 0, setsketch.BANDS, 0))]))
     return _with(
         batch,
         {
             "n_shingles": pa.array(n.astype(np.int64)),
             "node": _masked(fixed_binary(_node_ids(codes, bounds)), n > 0),
-            "bands": keys,
             "registers": _masked(fixed_binary(registers), n > 0),
         },
     )
@@ -81,7 +84,7 @@ def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, node, bands, registers`` for every row; ``node`` and ``registers`` are null without words."""
+    """``doc_id, n_shingles, node, registers`` for every row; ``node`` and ``registers`` are null without words."""
     return docs.select("doc_id", "text").mapInArrow(over_batches(_sketch), f"doc_id long, {_SKETCH_SCHEMA}")
 
 
@@ -89,7 +92,9 @@ def _registers(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, setsketch.REGISTERS)
 
 
-def _numbers(column: pa.Array) -> np.ndarray:
+def _numbers(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
     return column.to_numpy(zero_copy_only=False)
 
 
@@ -112,116 +117,202 @@ def _similar_sizes(a: str, b: str) -> F.Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
+def _shared(nodes: DataFrame) -> DataFrame:
+    """``bucket, band, id, n_shingles, least, n_least``: a row per node and band that another node agrees with, and the
+    least of the nodes that do."""
+    width = setsketch.BAND * 2
+    keys = F.array(
+        *(F.xxhash64(F.lit(k), F.expr(f"substring(registers, {k * width + 1}, {width})")) for k in range(setsketch.BANDS))
+    )
+    placed = nodes.select("id", "n_shingles", F.posexplode(keys).alias("band", "bucket"))
+    least = (
+        placed.groupBy("bucket")
+        .agg(F.min(F.struct("id", "n_shingles")).alias("least"), F.count("*").alias("members"))
+        .where("members > 1")
+        .select("bucket", F.col("least.id").alias("least"), F.col("least.n_shingles").alias("n_least"))
+    )
+    return placed.join(least, "bucket")
+
+
 def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of nodes (``a, b``) that may reach the similarity by the estimate from their sketches."""
     for side in "ab":
         named = nodes.select(
-            F.col("node").alias(side), F.col("registers").alias(f"registers_{side}"),
+            F.col("id").alias(side), F.col("registers").alias(f"registers_{side}"),
             F.col("n_shingles").alias(f"n_{side}"),
         )
         pairs = pairs.join(named, side)
-    return pairs.mapInArrow(_likely, "a binary, b binary, estimate double")
+    return pairs.mapInArrow(_likely, _PAIR_SCHEMA)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs that reach the similarity on their full sets: ``a, b, similarity``."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    owners = wanted.join(nodes, "node").select("doc_id", F.col("node").alias("wanted"))
-    # One document of each node is read again; a repeated id brings rows of other nodes, which the last join leaves out.
-    texts = docs.select("doc_id", "text").join(owners.select("doc_id").distinct(), "doc_id", "left_semi")
+def _sets_of(ids: DataFrame, docs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``id, codes``: the full set of each of these nodes, from one of its documents."""
+    wanted = scratch.settle(nodes.join(ids, "id").select("id", "node", "doc_id"), "wanted")
+    # A repeated id brings other sets too, which the join by node leaves out.
+    texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = texts.select("text").mapInArrow(over_batches(_sets), _SET_SCHEMA)
-    sets = scratch.settle(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    return scratch.settle(
+        sets.join(wanted.select("node", "id"), "node").select("id", "codes").dropDuplicates(["id"]), "sets"
+    )
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that reach the similarity on their full sets: ``a, b``."""
     for side in "ab":
-        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("codes").alias(f"codes_{side}")), side)
+        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("codes").alias(f"codes_{side}")), side)
     shared = F.size(F.array_intersect("codes_a", "codes_b"))
     counted = pairs.select(
         "a", "b", shared.alias("shared"), (F.size("codes_a") + F.size("codes_b") - shared).alias("united")
     )
-    return counted.where(F.col("shared") * 100 >= F.col("united") * PERCENT).select(
-        "a", "b", (F.col("shared") / F.col("united")).alias("similarity")
-    )
-
-
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Estimates all pairs between the others of a block and its nodes; the rows come sorted by block."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("estimate", pa.float64())])
-
-    def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        block = _numbers(table["block"].combine_chunks())
-        other = _numbers(table["other"].combine_chunks())
-        n = _numbers(table["n_shingles"].combine_chunks())
-        registers = _registers(table["registers"])
-        node = np.array(table["node"].to_pylist(), object)
-        component = np.unique(np.array(table["component"].to_pylist(), object), return_inverse=True)[1]
-        edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
-        left, right, waiting = [], [], 0
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            probes = np.arange(a, b)[~other[a:b]]
-            for i in np.flatnonzero(other[a:b]) + a:
-                smaller, larger = np.minimum(n[probes], n[i]), np.maximum(n[probes], n[i])
-                j = probes[(component[probes] != component[i]) & (100 * smaller >= PERCENT * larger)]
-                if len(j):
-                    left.append(np.full(len(j), i))
-                    right.append(j)
-                    waiting += len(j)
-                if waiting >= 1 << 15:
-                    yield from likely(np.concatenate(left), np.concatenate(right), registers, n, node)
-                    left, right, waiting = [], [], 0
-        if waiting:
-            yield from likely(np.concatenate(left), np.concatenate(right), registers, n, node)
-
-    def likely(left, right, registers, n, node) -> Iterator[pa.RecordBatch]:
-        estimate = setsketch.similarity(registers[left], registers[right], n[left], n[right])
-        keep = estimate >= PERCENT / 100 - ESTIMATE_SLACK
-        pairs = [sorted(x) for x in zip(node[left[keep]], node[right[keep]], strict=True)]
-        yield pa.RecordBatch.from_pydict(
-            {"a": [x[0] for x in pairs], "b": [x[1] for x in pairs], "estimate": estimate[keep]}, schema=schema
-        )
-
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows < 4 * NODES_PER_BLOCK:
+    return counted.where(F.col("shared") * 100 >= F.col("united") * PERCENT).select("a", "b")
+
+
+def _by_block(work: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> Callable:
+    """For ``mapInArrow`` over rows sorted by ``block``: ``work`` on tables of whole blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size < HELD_BYTES:
+                continue
+            table = pa.Table.from_batches(held)
+            block = _numbers(table["block"])
+            # The last block may go on in the next batch.
+            last = len(block) - int(np.cumprod((block == block[-1])[::-1]).sum())
+            if last:
+                yield from work(table.slice(0, last))
+            held = table.slice(last).combine_chunks().to_batches()
+            size = sum(part.nbytes for part in held)
+        if held:
+            yield from work(pa.Table.from_batches(held))
+
+    return run
+
+
+def _blocks(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of each block its number, its others and all its nodes, as row numbers."""
+    block, other = _numbers(table["block"]), _numbers(table["other"])
+    edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(block) else []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        yield block[a], np.flatnonzero(other[a:b]) + a, np.flatnonzero(~other[a:b]) + a
+
+
+def _likely_members(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The rows that have a likely partner in their block, counting each pair in the first band it shares."""
+    n, component, band = (_numbers(table[name]) for name in ("n_shingles", "component", "band"))
+    registers = _registers(table["registers"])
+    keys = setsketch.band_keys(registers)
+    found = np.zeros(table.num_rows, bool)
+
+    def mark(left: list[np.ndarray], right: list[np.ndarray]) -> None:
+        a, b = np.concatenate(left), np.concatenate(right)
+        first = (keys[a] == keys[b]).argmax(axis=1) == band[a]
+        a, b = a[first], b[first]
+        likely = setsketch.similarity(registers[a], registers[b], n[a], n[b]) >= PERCENT / 100 - ESTIMATE_SLACK
+        found[a[likely]] = True
+        found[b[likely]] = True
+
+    left, right, waiting = [], [], 0
+    for _, others, members in _blocks(table):
+        for i in others:
+            smaller, larger = np.minimum(n[members], n[i]), np.maximum(n[members], n[i])
+            j = members[(component[members] != component[i]) & (100 * smaller >= PERCENT * larger)]
+            left.append(np.full(len(j), i))
+            right.append(j)
+            waiting += len(j)
+            if waiting >= PAIRS_AT_ONCE:
+                mark(left, right)
+                left, right, waiting = [], [], 0
+    if waiting:
+        mark(left, right)
+    kept = table.filter(pa.array(found)).select(["block", "other", "id", "component"])
+    yield from kept.combine_chunks().to_batches()
+
+
+def _shared_counts(sets: list[np.ndarray], others: int) -> np.ndarray:
+    """How many elements each of the first ``others`` sets shares with each set."""
+    lengths = [len(x) for x in sets]
+    owner = np.repeat(np.arange(len(sets)), lengths)
+    code = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    left = np.bincount(code[: sum(lengths[:others])], minlength=code.max() + 1)
+    right = np.bincount(code, minlength=code.max() + 1)
+    useful = (left > 0) & (right > 1)
+    place = np.cumsum(useful) - 1
+    owner, code = owner[useful[code]], place[code[useful[code]]]
+    width = int(useful.sum())
+    counts = np.zeros((others, len(sets)), np.float32)
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    starts = np.searchsorted(code, np.arange(width + 1))
+    if 20 * int((left[useful] * right[useful]).sum()) < others * len(sets) * width:
+        # Few elements in common: one by one.
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            rows = owner[a:b]
+            counts[np.ix_(rows[rows < others], rows)] += 1
+        return counts
+    step = max(1, MATRIX_CELLS // len(sets))
+    for at in range(0, width, step):
+        a, b = starts[at], starts[min(at + step, width)]
+        present = np.zeros((len(sets), step), np.float32)
+        present[owner[a:b], code[a:b] - at] = 1
+        counts += present[:others] @ present.T
+    return counts
+
+
+def _block_links(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Links checked on the full sets, of each block as many as join its components."""
+    ids, component = _numbers(table["id"]), _numbers(table["component"])
+    codes = table["codes"].combine_chunks()
+    bounds, values = np.asarray(codes.offsets), np.asarray(codes.values)
+    found_a, found_b = [], []
+    for _, others, members in _blocks(table):
+        if not len(others) or not len(members):
             continue
-        table = pa.Table.from_batches(held)
-        # The last block may go on in the next batch.
-        block = _numbers(table["block"].combine_chunks())
-        last = len(block) - int((block == block[-1])[::-1].cumprod().sum())
-        if last:
-            yield from settle(table.slice(0, last))
-        held = table.slice(last).combine_chunks().to_batches()
-        rows = table.num_rows - last
-    if rows:
-        yield from settle(pa.Table.from_batches(held))
-
-
-def _between_components(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Estimated pairs of nodes that share a bucket but no component yet."""
-    placed = nodes.join(labels, "node", "left").select(
-        "node", "n_shingles", F.coalesce("component", "node").alias("component"),
-        F.posexplode("bands").alias("band", "key"),
-    )
-    sizes = placed.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
-    mixed = (
-        sizes.groupBy("band", "key")
-        .agg(
-            F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("members"),
-            F.count("*").alias("different"),
-        )
-        .where("different > 1")
-        .select(
-            "band", "key", F.col("main.component").alias("main"),
-            F.ceil((F.col("members") - F.col("main.n")) / OTHERS_PER_BLOCK).cast("int").alias("other_blocks"),
-            F.ceil(F.col("members") / NODES_PER_BLOCK).cast("int").alias("node_blocks"),
-        )
+        rows = np.concatenate([others, members])
+        size = bounds[rows + 1] - bounds[rows]
+        shared = _shared_counts([values[bounds[r] : bounds[r + 1]] for r in rows], len(others))[:, len(others) :]
+        united = size[: len(others), None] + size[None, len(others) :] - shared
+        a, b = np.nonzero((shared * 100 >= united * PERCENT) & (component[others][:, None] != component[members][None, :]))
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for i, j in zip(others[a].tolist(), members[b].tolist(), strict=True):
+            one, two = root(int(component[i])), root(int(component[j]))
+            if one != two:
+                parent[max(one, two)] = min(one, two)
+                found_a.append(ids[i])
+                found_b.append(ids[j])
+    yield pa.RecordBatch.from_pydict({"a": np.array(found_a, np.int64), "b": np.array(found_b, np.int64)})
+
+
+def _between_components(
+    shared: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, scratch: Scratch
+) -> DataFrame:
+    """Checked links between nodes that share a bucket but no component yet: ``a, b``, enough to join what they join."""
+    placed = shared.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
+        "bucket", "band", "id", "n_shingles", F.coalesce("component", "id").alias("component")
+    )
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket")
+    sizes = sizes.agg(
+        F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("members"), F.count("*").alias("components")
+    )
+    sizes = sizes.where("components > 1").select(
+        "bucket", F.col("main.component").alias("main"),
+        F.ceil((F.col("members") - F.col("main.n")) / OTHERS_PER_BLOCK).cast("int").alias("other_blocks"),
+        F.ceil(F.col("members") / NODES_PER_BLOCK).cast("int").alias("node_blocks"),
     )
-    members = placed.join(mixed, ["band", "key"])
-    spread = F.xxhash64("node")
+    members = scratch.settle(placed.join(sizes, "bucket"), "mixed")
+    spread = F.xxhash64("id")
 
     def dealt(rows: DataFrame, i: F.Column, j: F.Column, other: bool) -> DataFrame:
-        return rows.select("node", "component", "band", "key", i.alias("i"), j.alias("j"), F.lit(other).alias("other"))
+        return rows.select("id", "component", "bucket", "band", i.alias("i"), j.alias("j"), F.lit(other).alias("other"))
 
     others = dealt(
         members.where("component <> main"),
@@ -229,77 +320,62 @@ def _between_components(nodes: DataFrame, labels: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("node_blocks") - 1)),
         True,
     )
-    probes = dealt(
+    all_members = dealt(
         members,
         F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1)),
         F.pmod(spread, "node_blocks").cast("int"),
         False,
     )
-    rows = others.unionByName(probes).withColumn("block", F.xxhash64("band", "key", "i", "j"))
-    rows = rows.join(nodes.select("node", "n_shingles", "registers"), "node")
-    return (
-        rows.select("block", "other", "node", "component", "n_shingles", "registers")
-        .repartition("block")
-        .sortWithinPartitions("block")
-        .mapInArrow(_compare, "a binary, b binary, estimate double")
-        .dropDuplicates(["a", "b"])
+    rows = others.unionByName(all_members).withColumn("block", F.xxhash64("bucket", "i", "j"))
+    rows = rows.join(nodes.select("id", "n_shingles", "registers"), "id").repartition("block")
+    likely = rows.sortWithinPartitions("block").mapInArrow(
+        _by_block(_likely_members), "block long, other boolean, id long, component long"
     )
+    likely = scratch.settle(likely, "likely")
+    sets = _sets_of(likely.select("id").distinct(), docs, nodes, scratch)
+    rows = likely.join(sets, "id").repartition("block").sortWithinPartitions("block")
+    return rows.mapInArrow(_by_block(_block_links), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` and ``links`` (checked links of its shingle set) for every row of
-    ``docs`` (``doc_id, text``, other columns are left out).
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id, text``, other columns are left out).
 
     A text without words, an empty or a null text has an empty set, is linked with nothing and is kept. Rows with equal
     sets are copies, linked without a check. Rows that repeat an id are linked by their sets like any others. A row
     without an id has no component and is kept. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "setsketch")
+    scratch = Scratch(docs.sparkSession, "setsketch")
     sketched = scratch.settle(sketches(docs), "sketches")
-    nodes = scratch.settle(
+    members = sketched.select("doc_id", "n_shingles", "node")
+    nodes = (
         sketched.where("node IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
-            F.first("bands").alias("bands"), F.first("registers").alias("registers"),
-        ),
-        "nodes",
+            F.first("registers").alias("registers"),
+        )
+        .withColumn("id", F.monotonically_increasing_id())
     )
-    placed = nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "key"))
-    least = (
-        placed.groupBy("band", "key")
-        .agg(F.min(F.struct("node", "n_shingles")).alias("least"), F.count("*").alias("members"))
-        .where("members > 1")
-        .select("band", "key", F.col("least.node").alias("a"), F.col("least.n_shingles").alias("n_a"))
-    )
-    stars = (
-        placed.withColumnsRenamed({"node": "b", "n_shingles": "n_b"})
-        .join(least, ["band", "key"])
-        .where((F.col("a") != F.col("b")) & _similar_sizes("n_a", "n_b"))
-        .select("a", "b")
-        .distinct()
-    )
-    likely = scratch.settle(_estimated(stars, nodes), "likely")
-    links = scratch.settle(_confirmed(likely, docs, nodes, scratch), "links")
+    nodes = scratch.settle(nodes, "nodes")
+    shared = scratch.settle(_shared(nodes), "shared")
+    stars = shared.where((F.col("id") != F.col("least")) & _similar_sizes("n_shingles", "n_least"))
+    stars = stars.select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    best = _estimated(stars, nodes).groupBy("b").agg(F.max(F.struct("estimate", "a")).alias("best"))
+    best = scratch.settle(best.select(F.col("best.a").alias("a"), "b"), "best")
+    ends = best.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    links = scratch.settle(_confirmed(best, _sets_of(ends, docs, nodes, scratch)), "links")
     labels = scratch.settle(components(links, scratch), "labels")
-    likely = scratch.settle(_between_components(nodes, labels), "likely")
-    if not likely.isEmpty():
-        more = _confirmed(likely, docs, nodes, scratch)
-        links = scratch.settle(links.unionByName(more), "links")
-        labels = scratch.settle(components(links, scratch), "labels")
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    named = nodes.select("node", "doc_id").join(labels, "node", "left").join(ends, "node", "left")
-    named = named.select("node", "doc_id", F.coalesce("component", "node").alias("component"), "links")
+    more = scratch.settle(_between_components(shared, nodes, labels, docs, scratch), "links")
+    labels = scratch.settle(components(links.unionByName(more), scratch), "labels")
+    named = nodes.select("id", "node", "doc_id").join(labels.withColumnRenamed("node", "id"), "id", "left")
+    named = named.withColumn("component", F.coalesce("component", "id"))
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(ids, "component").select("node", "component_id", "links")
-    rows = sketched.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    named = named.join(ids, "component").select("node", "component_id")
+    rows = members.join(named, "node", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select(
-        "doc_id", "n_shingles", own.alias("component_id"),
-        F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("links"),
-    )
+        "doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept")
+    )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
