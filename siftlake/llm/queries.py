@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftlake.llm import fair_mixing, secret_ledger, setsketch_dedup, tree_sharding
+from siftlake.llm import (
+    crf_toxicity,
+    fair_mixing,
+    secret_ledger,
+    setsketch_dedup,
+    simhash_decontamination,
+    tree_sharding,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +38,23 @@ def op6_fair_queue_mix(spark, sf_dir):
     return fair_mixing.mix(docs).drop("text", "source")
 
 
+def op8_simhash_decontamination(spark, sf_dir):
+    return simhash_decontamination.contaminations(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+def op10_crf_toxicity(spark, sf_dir):
+    return crf_toxicity.scored_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 _QUERIES = (
     op2_secret_blob_ledger,
     op3_setsketch_near_duplicates,
     op4_weighted_tree_shards,
     op6_fair_queue_mix,
+    op8_simhash_decontamination,
+    op10_crf_toxicity,
 )
 
 
