@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from siftlake.llm import (
+    cotraining_quality,
     crf_toxicity,
     fair_mixing,
+    ftrl_langid,
+    pruned_graph_search,
     secret_ledger,
     setsketch_dedup,
     simhash_decontamination,
+    skipchain_pii,
     tree_sharding,
 )
 
@@ -20,6 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_skip_chain_pii(spark, sf_dir):
+    return skipchain_pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op2_secret_blob_ledger(spark, sf_dir):
     return secret_ledger.scan_documents(_table(spark, sf_dir, "documents"))
 
@@ -33,27 +41,43 @@ def op4_weighted_tree_shards(spark, sf_dir):
     return tree_sharding.assign(docs).drop("text")
 
 
+def op5_cotraining_quality(spark, sf_dir):
+    return cotraining_quality.qualities(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_fair_queue_mix(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return fair_mixing.mix(docs).drop("text", "source")
 
 
+def op7_pruned_graph_neighbours(spark, sf_dir):
+    return pruned_graph_search.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash_decontamination(spark, sf_dir):
     return simhash_decontamination.contaminations(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     )
 
 
+def op9_ftrl_languages(spark, sf_dir):
+    return ftrl_langid.languages(_table(spark, sf_dir, "documents"))
+
+
 def op10_crf_toxicity(spark, sf_dir):
     return crf_toxicity.scored_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 _QUERIES = (
+    op1_skip_chain_pii,
     op2_secret_blob_ledger,
     op3_setsketch_near_duplicates,
     op4_weighted_tree_shards,
+    op5_cotraining_quality,
     op6_fair_queue_mix,
+    op7_pruned_graph_neighbours,
     op8_simhash_decontamination,
+    op9_ftrl_languages,
     op10_crf_toxicity,
 )
 
