@@ -23,7 +23,9 @@ POINTS_PER_SHARD = 5000
 QUERIES_PER_BLOCK = 2048
 DEGREE = 32
 BUILD_BEAM = 64
-SEARCH_BEAM = 96
+SEARCH_BEAM = 160
+# Places a point has for points that would be cut off, in each round of attaching them.
+SPARE = 4
 ALPHA = 1.2
 BATCH = 256
 _EXPAND = 4
@@ -131,8 +133,38 @@ def medoid(vectors: np.ndarray) -> int:
     return int(((vectors - vectors.mean(axis=0)) ** 2).sum(axis=1).argmin())
 
 
+def _reached(edges: np.ndarray, entry: int) -> np.ndarray:
+    """Which points can be walked to from the entry."""
+    reached = np.zeros(len(edges), bool)
+    reached[entry] = True
+    front = np.array([entry])
+    while len(front):
+        ahead = np.unique(edges[front])
+        front = ahead[(ahead >= 0) & ~reached[np.maximum(ahead, 0)]]
+        reached[front] = True
+    return reached
+
+
+def _attach(vectors: np.ndarray, edges: np.ndarray, entry: int) -> np.ndarray:
+    """Edges to the points that pruning has cut off, from the nearest points that are reached, in places of their own."""
+    while True:
+        lost = np.flatnonzero(~_reached(edges, entry))
+        if not len(lost):
+            return edges
+        spare = np.full((len(edges), SPARE), -1, np.int32)
+        taken = np.zeros(len(edges), int)
+        for a in range(0, len(lost), BATCH):
+            ids, _ = beam_search(vectors, edges, entry, vectors[lost[a : a + BATCH]], BUILD_BEAM)
+            for point, row in zip(lost[a : a + BATCH], ids, strict=True):
+                free = row[(row >= 0) & (taken[np.maximum(row, 0)] < SPARE)]
+                if len(free):
+                    spare[free[0], taken[free[0]]] = point
+                    taken[free[0]] += 1
+        edges = np.concatenate([edges, spare], axis=1)
+
+
 def build_graph(vectors: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A row of neighbours (-1 for none) per point."""
+    """A row of neighbours (-1 for none) per point; all points can be reached from the medoid."""
     n = len(vectors)
     random = np.random.default_rng(seed)
     edges = np.full((n, DEGREE), -1, np.int32)
@@ -146,7 +178,7 @@ def build_graph(vectors: np.ndarray, seed: int = 0) -> np.ndarray:
             ids, _ = beam_search(vectors, edges, entry, vectors[batch], BUILD_BEAM)
             edges[batch] = robust_prune(vectors, batch, np.concatenate([ids, edges[batch]], axis=1), alpha)
             _add_reverse(vectors, edges, batch, alpha)
-    return edges
+    return _attach(vectors, edges, entry)
 
 
 def _usable(vector: Column) -> Column:
@@ -178,6 +210,7 @@ def _matrix(column: pd.Series) -> np.ndarray:
 def _build(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values("point", ignore_index=True)
     edges = build_graph(_matrix(frame["vector"]))
+    edges = edges[:, : int(np.flatnonzero((edges >= 0).any(axis=0)).max(initial=0)) + 1]
     return frame.assign(position=np.arange(len(frame), dtype=np.int32), edges=list(edges))[
         ["dims", "shard", "position", "point", "ids", "vector", "edges"]
     ]
