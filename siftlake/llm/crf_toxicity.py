@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftlake.llm.tokens import WORD_CHARS, Words, mix, over_batches
+from siftlake.llm.tokens import WORD_CHARS, Words, mix, over_batches, slices
 
 # The classifier is fitted to this many labelled documents at most, those with the smallest hash of their id.
-TRAIN_DOCUMENTS = 6000
+TRAIN_DOCUMENTS = 4000
 THRESHOLD = 0.7
 # Where a score stands without any labels to learn from.
 UNKNOWN = 0.0
@@ -56,7 +56,7 @@ def _place(words: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return np.where(words[at] == codes, at, -1)
 
 
-def _associations(words: Words, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _associations(words: _Codes, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word codes, how surely each prefers toxic documents, and in how many different surroundings it stands there. Copies
     of a document bring no new surroundings."""
     same = np.zeros(len(words) + 1, bool)
@@ -98,7 +98,7 @@ def _marginals_of_windows(emission: np.ndarray, transitions: np.ndarray) -> tupl
     return marginal, pairs, float(total.sum())
 
 
-def _train_chain(words: Words, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, float, float, np.ndarray]:
+def _train_chain(words: _Codes, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, float, float, np.ndarray]:
     codes, z, contexts = _associations(words, toxic)
     weighted = np.flatnonzero((z > WEIGHTED_Z) & (contexts >= LEAST_CONTEXTS))
     weighted = np.sort(weighted[np.argsort(-z[weighted], kind="stable")[:MOST_WORDS]])
@@ -161,7 +161,7 @@ def _powers(bias: float, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.outer(vectors[:, 0], inverse[0]), np.outer(vectors[:, 1], inverse[1]), float(values[1] / values[0])
 
 
-def token_marginals(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
+def token_marginals(words: Words | _Codes, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Tokens with a weight of their own or of a neighbour, and the probability of each to be toxic."""
     place = _place(model.words, words.code)
     seen = np.flatnonzero(place >= 0)
@@ -214,7 +214,7 @@ def token_marginals(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]
     return sites, joint[:, 1] / joint.sum(axis=1)
 
 
-def _document_features(words: Words, sites: np.ndarray, marginal: np.ndarray) -> np.ndarray:
+def _document_features(words: Words | _Codes, sites: np.ndarray, marginal: np.ndarray) -> np.ndarray:
     """Per text: 1, expected toxic tokens (logarithm), the surest token, and expected toxic tokens per root of words."""
     expected = np.bincount(words.text[sites], weights=marginal, minlength=words.rows)
     surest = np.zeros(words.rows)
@@ -243,11 +243,36 @@ def _probability(features: np.ndarray, model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(features @ model.document, -30, 30)))
 
 
+@dataclass(frozen=True)
+class _Codes:
+    """What is needed of the words of many texts to learn from them."""
+
+    code: np.ndarray
+    text: np.ndarray
+    bounds: np.ndarray
+    rows: int
+
+    def __len__(self) -> int:
+        return len(self.code)
+
+
+def _codes_of(texts: pa.Array) -> _Codes:
+    """The words of all texts, worked out a slice at a time."""
+    code, counts = [], []
+    for part in slices(pa.RecordBatch.from_pydict({"text": texts})):
+        words = Words(part["text"], WORD_CHARS)
+        code.append(words.code)
+        counts.append(np.diff(words.bounds))
+    n = np.concatenate(counts)
+    bounds = np.concatenate([[0], np.cumsum(n)])
+    return _Codes(np.concatenate(code), np.repeat(np.arange(len(n), dtype=np.int32), n), bounds, len(n))
+
+
 def fit(texts: pa.Array, toxic: np.ndarray) -> Model | None:
     """A model of these texts and their labels; None unless both labels occur."""
     if len(np.unique(toxic)) < 2:
         return None
-    words = Words(texts, WORD_CHARS)
+    words = _codes_of(texts)
     if not len(words):
         return None
     chain = Model(*_train_chain(words, toxic), np.zeros(4))
