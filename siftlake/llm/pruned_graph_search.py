@@ -19,7 +19,7 @@ from siftlake.workspace import Scratch
 
 NEIGHBOURS = 10
 QUERY_EVERY = 100
-POINTS_PER_SHARD = 5000
+POINTS_PER_SHARD = 2500
 QUERIES_PER_BLOCK = 2048
 DEGREE = 32
 BUILD_BEAM = 64
@@ -221,6 +221,8 @@ def build_index(vectors: DataFrame, scratch: Scratch, k: int = NEIGHBOURS) -> Da
     points = scratch.settle(_points(usable(vectors), k), "points")
     shards = -(-points.count() // POINTS_PER_SHARD) or 1
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("point"), F.lit(shards)).cast("int"))
+    # Little to read, much to do: shards aren't to share a task because they are small.
+    dealt = dealt.repartition(shards, "dims", "shard")
     return scratch.settle(dealt.groupBy("dims", "shard").applyInPandas(_build, _INDEX_SCHEMA), "index")
 
 
