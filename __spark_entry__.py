@@ -7,6 +7,7 @@ engines: 'error' as a missing event type, UTF-8 text read as ASCII, users as eve
 from __future__ import annotations
 
 import importlib
+import math
 from collections.abc import Callable
 from functools import reduce, wraps
 from types import ModuleType
@@ -51,6 +52,7 @@ TABLES = (
     "conversations"
 ).split()
 KINDS = ("view", "click", "purchase", "signup", "error")
+_BEYOND_DOUBLE = 9_007_199_254_740_993
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY", "HOUSEHOLD")
 # The tables' ids are BIGINT.
 WIDE_EVENT = with_types(EVENT_SCHEMA, id=T.LongType())
@@ -153,6 +155,38 @@ def numeric_profile(spark, sf_dir):
     return found.withColumns({"avg": F.round("avg", 6), "stddev": F.round("stddev", 6)})
 
 
+def exact_extremes(spark, sf_dir):
+    """Ids beyond what doubles hold."""
+    wide = _table(spark, sf_dir, "events").select((F.col("event_id") + _BEYOND_DOUBLE).alias("wide_id"))
+    return profile.numeric_profile(wide).select("column", "min_exact", "max_exact", "count")
+
+
+def dq_infinite(spark, sf_dir):
+    """A column with NaN and both infinities."""
+    every = F.pmod("event_id", F.lit(100))
+    odd = F.when(every == 7, F.lit(math.nan)).when(every == 8, F.lit(math.inf)).when(every == 9, F.lit(-math.inf))
+    return _checked(_table(spark, sf_dir, "events").select(odd.otherwise(F.lit(1.0)).alias("value")), QualitySuite(), "anomalies")
+
+
+def dq_broken_rule(spark, sf_dir):
+    """A rule that fails on the data next to one that does not."""
+    suite = QualitySuite(rules={"broken": "cast(event_type AS int) < 0", "negative": "value < 0"})
+    results = run_checks(_table(spark, sf_dir, "events"), suite, ["row_count", "custom"])
+    return results.select("check", "status", "deduction")
+
+
+def schema_growth(spark, sf_dir):
+    """The layers after a first export without a column and a second one with it."""
+    events, path = _events(spark, sf_dir).where("value IS NOT NULL"), new_path(spark, "growth")
+    export, layers_at, prefix = f"{path}/export", f"{path}/layers", f"growth_{path[-32:]}_"
+    write_by_date(events.where("id % 2 = 0"), export)
+    fill_layers(spark, export, layers_at, prefix)
+    noted = events.where("id % 2 = 1").withColumn("note", F.concat(F.lit("n"), "id"))
+    noted.write.mode("append").partitionBy("ingestion_date").parquet(export)
+    fill_layers(spark, export, layers_at, prefix)
+    return spark.table(f"{prefix}silver.events_cleaned").select("id", "note")
+
+
 def type_frequency(spark, sf_dir):
     return profile.value_frequency(_events(spark, sf_dir), "type", top=20)
 
@@ -421,6 +455,20 @@ def gold_view(spark, sf_dir):
     return _rounded(spark.table(per_type))
 
 
+def gold_view_by_day(spark, sf_dir):
+    layers.silver_events(_by_user(spark, sf_dir)).createOrReplaceTempView("silver_by_user")
+    _, per_day = layers.create_gold_views(spark, "silver_by_user")
+    return spark.table(per_day).drop("avg_value")
+
+
+def first_rows(spark, sf_dir):
+    return profile.sample_rows(_table(spark, sf_dir, "orders").orderBy("o_orderkey"), 10).select("o_orderkey", "o_totalprice")
+
+
+def schema_listing(spark, sf_dir):
+    return profile.schema_rows(_table(spark, sf_dir, "lineitem")).select("name", "type")
+
+
 def table_inventory(spark, sf_dir):
     export = new_path(spark, "export")
     prefix = f"inv_{export[-32:]}_"
@@ -451,6 +499,7 @@ _QUERIES = (
     row_count,
     dataset_stats,
     numeric_profile,
+    exact_extremes,
     type_frequency,
     rows_per_date,
     first_dates,
@@ -463,9 +512,11 @@ _QUERIES = (
     dq_ranges,
     dq_data_types,
     dq_anomalies,
+    dq_infinite,
     dq_distribution,
     dq_encoding,
     dq_custom,
+    dq_broken_rule,
     dq_run,
     dq_findings,
     dq_report,
@@ -493,8 +544,12 @@ _QUERIES = (
     gold_metrics,
     gold_by_type_date,
     gold_view,
+    gold_view_by_day,
+    first_rows,
+    schema_listing,
     table_inventory,
     flow_gold,
+    schema_growth,
 )
 
 
@@ -561,11 +616,13 @@ _METRICS = """CAST(count(*) AS BIGINT) AS total_events, round(avg(value), 6) AS
     max(value) AS max_value"""
 
 
-def _sql_profile(table: str, columns: list[str]) -> str:
+def _sql_profile(table: str, columns: list[str], integral: tuple = ()) -> str:
+    exact, none = "CAST({f} AS VARCHAR)", "CAST(NULL AS VARCHAR)"
     return " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
         f"round(avg({c}), 6) AS avg, round(stddev_samp({c}), 6) AS stddev, count({c}) AS count, "
-        f"CAST(0 AS BIGINT) AS nan_count FROM {table}"
+        f"CAST(0 AS BIGINT) AS nan_count, {exact.format(f=f'min({c})') if c in integral else none} AS min_exact, "
+        f"{exact.format(f=f'max({c})') if c in integral else none} AS max_exact FROM {table}"
         for c in columns
     )
 
@@ -738,7 +795,15 @@ def _own_sql() -> dict[str, str]:
             f"(SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE {t})) AS schema_columns"
             for t in TABLES
         ),
-        "numeric_profile": _sql_profile("lineitem", lineitem_numbers),
+        "numeric_profile": _sql_profile("lineitem", lineitem_numbers, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")),
+        "exact_extremes": f"SELECT 'wide_id' AS \"column\", CAST(min(event_id) + {_BEYOND_DOUBLE} AS VARCHAR) AS min_exact, "
+        f"CAST(max(event_id) + {_BEYOND_DOUBLE} AS VARCHAR) AS max_exact, count(*) AS count FROM events",
+        "dq_infinite": "WITH d AS (SELECT count(*) FILTER (WHERE event_id % 100 IN (8, 9)) AS n FROM events) "
+        + _sql_single("anomalies", "n", "WARN", 0, "'outliers in 1 cols'", "'no outliers'", "FROM d"),
+        "dq_broken_rule": "SELECT 'row_count' AS \"check\", 'PASS' AS status, CAST(0 AS INTEGER) AS deduction "
+        "UNION ALL SELECT 'custom', 'FAIL', CAST(10 * CAST(count(*) FILTER (WHERE value < 0) > 0 AS INTEGER) AS INTEGER) FROM events",
+        "schema_growth": f"WITH {_SQL_EVENTS} SELECT id, CASE WHEN id % 2 = 1 THEN concat('n', id) END AS note FROM e "
+        "WHERE value IS NOT NULL AND type IS NOT NULL",
         "type_frequency": "SELECT event_type AS type, count(*) AS count FROM events GROUP BY 1 "
         "ORDER BY 2 DESC, 1 LIMIT 20",
         "rows_per_date": "SELECT CAST(ts AS DATE) AS ingestion_date, count(*) AS count FROM events GROUP BY 1",
@@ -864,6 +929,13 @@ def _own_sql() -> dict[str, str]:
         "gold_by_type_date": f"WITH {_SQL_EVENTS} SELECT type AS event_type, ingestion_date AS event_date, {_METRICS} "
         "FROM e GROUP BY ALL",
         "gold_view": f"WITH {_SQL_BY_USER}, {_SQL_SILVER} SELECT type AS event_type, {_METRICS} FROM s GROUP BY type",
+        "gold_view_by_day": f"""WITH {_SQL_BY_USER}, {_SQL_SILVER} SELECT type AS event_type,
+            CAST(ingested_at AS DATE) AS event_date, CAST(count(*) AS BIGINT) AS total_events, min(value) AS min_value,
+            max(value) AS max_value FROM s GROUP BY ALL""",
+        "first_rows": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10",
+        "schema_listing": """SELECT column_name AS name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+            WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS type
+            FROM (DESCRIBE lineitem)""",
         "table_inventory": f"""WITH {_SQL_BY_USER}, {_SQL_SILVER}
             SELECT 'events_raw' AS table_name, 'bronze' AS schema_name, 'EXTERNAL' AS table_type,
                    (SELECT count(*) FROM u) AS total_rows

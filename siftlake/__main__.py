@@ -45,14 +45,14 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> bool:
 
 
 def export(spark: SparkSession, args: argparse.Namespace) -> bool:
-    outcome = gated_export(read_path(spark, args.table, args.format), args.target, replace_all=not args.keep_dates)
+    outcome = gated_export(read_path(spark, args.table, args.format, merge_schema=True), args.target, replace_all=not args.keep_dates)
     outcome.results.drop("findings").show(truncate=False)
     outcome.report.show()
     return outcome.exported
 
 
 def validate(spark: SparkSession, args: argparse.Namespace) -> bool:
-    df = read_path(spark, args.path)
+    df = read_path(spark, args.path, merge_schema=True)
     schema_rows(df).show(truncate=False)
     sample_rows(df).show(truncate=False)
     checks = lake_checks(df)

@@ -46,10 +46,19 @@ def create_bronze_table(
         f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(columns)}) USING PARQUET "
         f"PARTITIONED BY ({PARTITION_COLUMN}) LOCATION '{location}'"
     )
+    add_columns(spark, name, columns)
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return name
 
 
+def add_columns(spark: SparkSession, table: str, columns: T.StructType) -> None:
+    """Columns that a table of the catalog lacks, at the end of its own; rows written before read as NULL there."""
+    known = {c.lower() for c in spark.table(table).columns}
+    fresh = T.StructType([f for f in columns.fields if f.name.lower() not in known])
+    if fresh.fields:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_ddl(fresh)})")
+
+
 def create_silver_table(
     spark: SparkSession, schema_name: str, columns: T.StructType = SILVER_SCHEMA, fmt: str = "parquet"
 ) -> str:
@@ -58,6 +67,7 @@ def create_silver_table(
         f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(columns)}) USING {fmt} "
         "COMMENT 'Complete events, once per id'"
     )
+    add_columns(spark, name, columns)
     return name
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftlake.schemas import CRITICAL_COLUMNS, PARTITION_COLUMN, ref
 
@@ -14,8 +15,17 @@ from siftlake.schemas import CRITICAL_COLUMNS, PARTITION_COLUMN, ref
 _RECENCY = ("timestamp", "kafka_offset", "kafka_partition")
 
 
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def latest_by_id(df: DataFrame) -> DataFrame:
-    """One row per id: the latest by event time, then message offset, then message partition, then all other columns.
+    """One row per id: the latest by event time, then message offset, then message partition, then all other columns
+    that have an order, then a hash of the others as JSON.
 
     The row is a maximum, so every task keeps one row per id it saw before anything is shuffled: an id that holds a
     third of the table sends a row per task, not a third of the table, to one reducer. A rank over a window gives the
@@ -23,7 +33,14 @@ def latest_by_id(df: DataFrame) -> DataFrame:
     """
     recency = [c for c in _RECENCY if c in df.columns]
     others = [c for c in df.columns if c not in recency and c != "id"]
-    newest = F.max(F.struct(*[ref(c) for c in recency + others])).alias("newest")
+    unordered = [c for c in others if not _has_order(df.schema[c].dataType)]
+    ordered = [ref(c) for c in recency + others if c not in unordered]
+    if unordered:
+        rest = [ref(c) for c in unordered]
+        tie = F.xxhash64(F.to_json(F.struct(*rest))).alias("tie")
+        newest = F.max_by(F.struct(*ordered, *rest), F.struct(*ordered, tie)).alias("newest")
+    else:
+        newest = F.max(F.struct(*ordered)).alias("newest")
     return df.groupBy("id").agg(newest).select("id", "newest.*").select(*[ref(c) for c in df.columns])
 
 
@@ -35,6 +52,12 @@ def silver_events(bronze: DataFrame, critical: Sequence[str] = CRITICAL_COLUMNS)
     return latest_by_id(complete).withColumn("processed_at", F.current_timestamp())
 
 
+# The day of an event; none for a time outside the years 1 to 9999, which no date can be made of.
+_EVENT_DATE = (
+    "CASE WHEN timestamp BETWEEN -62135596800000 AND 253402300799999 THEN cast(timestamp_millis(timestamp) AS date) END"
+)
+
+
 def _metrics() -> list:
     return [
         F.count(F.lit(1)).alias("total_events"),
@@ -55,7 +78,7 @@ def gold_metrics(silver: DataFrame) -> DataFrame:
 
 def gold_by_type_and_date(silver: DataFrame) -> DataFrame:
     """The same metrics per type and day of the event."""
-    day = F.timestamp_millis("timestamp").cast("date").alias("event_date")
+    day = F.expr(_EVENT_DATE).alias("event_date")
     return (
         silver.groupBy(F.col("type").alias("event_type"), day)
         .agg(*_metrics())
@@ -78,7 +101,7 @@ def create_gold_views(spark: SparkSession, silver_name: str, views_in: str | Non
     )
     spark.sql(
         f"CREATE OR REPLACE {kind} {per_day} AS "
-        f"SELECT type AS event_type, cast(timestamp_millis(timestamp) AS date) AS event_date, {metrics} "
+        f"SELECT type AS event_type, {_EVENT_DATE} AS event_date, {metrics} "
         f"FROM {silver_name} GROUP BY ALL"
     )
     return per_type, per_day

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from siftlake.functions.predicates import matches
 from siftlake.operators.profile import row_count, rows_per_value
 from siftlake.schemas import literal, quoted, ref
-from siftlake.workspace import new_path
+from siftlake.workspace import move, new_path, partition_folders, remove
 
 
 def without(df: DataFrame, condition: str | None) -> DataFrame:
@@ -47,9 +48,10 @@ def delete_from_path(
     """Delete from a dataset without a catalog entry; returns where it is now, and
     ``total_rows, deleted_rows, remaining_rows``.
 
-    A Delta dataset is changed in place. Plain Parquet has no transaction log, so the remaining rows go to ``target``
-    (a new folder in the shared workspace by default) and ``path`` stays as it was: a lost job leaves no half-deleted
-    data, and readers switch when they choose to.
+    A Delta dataset is changed in place. Plain Parquet has no transaction log: the remaining rows are written once, beside
+    ``path`` and with the same partition folders, and then take its place; the old files go when the switch is done. A
+    job that is lost before the switch leaves ``path`` as it was; between its two renames the old files lie beside it.
+    With a ``target`` the remaining rows go there instead and ``path`` stays as it was.
     """
     before = spark.read.format(fmt).load(path)
     rows_before = before.count()
@@ -57,9 +59,20 @@ def delete_from_path(
         where = "" if condition is None else f" WHERE {condition}"
         spark.sql(f"DELETE FROM delta.`{path}`{where}")
         return path, _summary(spark, rows_before, spark.read.format(fmt).load(path).count())
-    target = target or new_path(spark, "delete")
-    writer = without(before, condition).write.format(fmt).mode("errorifexists")
-    (writer.partitionBy(partition_by) if partition_by else writer).save(target)
+    partitions = [partition_by] if partition_by else partition_folders(spark, path)
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    written = target or f"{beside}-new"
+    kept = without(before, condition)
+    if partitions:
+        kept = kept.hint("rebalance", *partitions)
+    writer = kept.write.format(fmt).mode("errorifexists")
+    (writer.partitionBy(*partitions) if partitions else writer).save(written)
+    if target is None:
+        move(spark, path, f"{beside}-old")
+        move(spark, written, path)
+        remove(spark, f"{beside}-old")
+        target = path
+        spark.catalog.refreshByPath(path)
     return target, _summary(spark, rows_before, spark.read.schema(before.schema).format(fmt).load(target).count())
 
 
@@ -137,3 +150,4 @@ def _replace(spark: SparkSession, table: str, rows: DataFrame, partition: str |
     if partition:
         kept = kept.hint("rebalance", partition)
     kept.write.insertInto(table, overwrite=True)
+    remove(spark, staged)

@@ -48,11 +48,13 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``column, min, max, avg, stddev, count, nan_count`` for every numeric column, reading those columns once."""
+    """``column, min, max, avg, stddev, count, nan_count, min_exact, max_exact`` for every numeric column, reading those
+    columns once. The exact extremes are texts, of integral and decimal columns: doubles round beyond 2^53."""
     columns = numeric_columns(df) if columns is None else columns
     if not columns:
         return df.sparkSession.createDataFrame(
-            [], "column string, min double, max double, avg double, stddev double, count long, nan_count long"
+            [], "column string, min double, max double, avg double, stddev double, count long, nan_count long, "
+            "min_exact string, max_exact string",
         )
     step = BUFFERS_PER_SCAN // _PROFILE_BUFFERS
     parts = [_profile_part(df, columns[i : i + step]) for i in range(0, len(columns), step)]
@@ -71,6 +73,8 @@ def _profile_part(df: DataFrame, columns: list[str]) -> DataFrame:
             "stddev": f"stddev_samp({c})",
             "count": f"count({c})",
             "nan_count": nan,
+            "min_exact": "cast(null as string)" if is_fractional(df, name) else f"cast(min({c}) as string)",
+            "max_exact": "cast(null as string)" if is_fractional(df, name) else f"cast(max({c}) as string)",
         }
         measures += [f"{sql} as {key}_{i}" for key, sql in values.items()]
         fields = ", ".join(f"'{key}', {key}_{i}" for key in values)
@@ -112,25 +116,19 @@ def rows_per_date(df: DataFrame, column: str = PARTITION_COLUMN, first: int | No
     return counts if first is None else counts.limit(first)
 
 
-# Texts above this size are told apart by their SHA-256 instead of being shuffled whole.
-_LONG_KEY_BYTES = 256
+def _key(df: DataFrame, name: str, digest: bool) -> Column:
+    is_text = any(f.name == name and f.dataType == T.StringType() for f in df.schema.fields)
+    return F.unhex(F.sha2(ref(name), 256)) if digest and is_text else ref(name)
 
 
-def _key(df: DataFrame, name: str) -> Column:
-    c = ref(name)
-    if not any(f.name == name and f.dataType == T.StringType() for f in df.schema.fields):
-        return c
-    is_long = F.octet_length(c) > _LONG_KEY_BYTES
-    return F.struct(is_long.alias("long"), F.when(is_long, F.sha2(c, 256)).otherwise(c).alias("key"))
-
-
-def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
+def duplicate_count(df: DataFrame, keys: list[str], digest_keys: bool = True) -> DataFrame:
     """``total_rows, distinct_keys, duplicates`` for a key; NULLs in a key equal each other.
 
-    Only the key columns are read, a key repeated within a task crosses the shuffle once, and whole documents can be
-    keys: long texts are replaced by their digest first.
+    Only the key columns are read, and a key repeated within a task crosses the shuffle once. Whole documents can be keys:
+    every text of a key, whatever its length, stands for its SHA-256, so that 32 bytes of it are shuffled and two texts
+    are equal when their digests are. ``digest_keys=False`` compares the texts themselves.
     """
-    keyed = df.select(*[_key(df, k).alias(f"key_{i}") for i, k in enumerate(keys)])
+    keyed = df.select(*[_key(df, k, digest_keys).alias(f"key_{i}") for i, k in enumerate(keys)])
     per_key = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("copies"))
     return per_key.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),

@@ -9,21 +9,31 @@ A run reads the table in few narrow scans:
 4. the numeric columns that scan 1 proved to hold outliers, filtered by their bounds (the filter reaches the
    Parquet reader, so row groups without outliers are not decoded). Without such columns there is no scan 4.
 
-Scan 1 hands its single row to the driver because its means and deviations are the bounds of scan 4. Everything else
-stays in one lazy plan of ten result rows.
+Scan 1 hands its single row to the driver because its means and deviations are the bounds of scan 4. The ten result rows
+are computed when the checks are run, and kept.
 """
 
 from __future__ import annotations
 
 import logging
 import math
+import sys
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
+from pyspark.errors import (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    IllegalArgumentException,
+    NumberFormatException,
+    SparkRuntimeException,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,10 +43,9 @@ from siftlake.operators.profile import (
     BUFFERS_PER_SCAN,
     count_where,
     duplicate_count,
-    measured,
     partition_skew,
 )
-from siftlake.schemas import is_fractional, is_integral, literal, numeric_columns, ref, string_columns
+from siftlake.schemas import is_fractional, is_integral, literal, numeric_columns, quoted, ref, string_columns
 
 log = logging.getLogger(__name__)
 
@@ -293,7 +302,8 @@ def _encoding(df: DataFrame, suite: QualitySuite) -> _Part:
     return _per_column("encoding", suite, {c: P.has_bad_characters(c) for c in names if c in df.columns})
 
 
-def _custom(df: DataFrame, suite: QualitySuite) -> _Part:
+def _custom(df: DataFrame, suite: QualitySuite, broken: frozenset[str] = frozenset()) -> _Part:
+    """``broken``: rules that fail on the data."""
     if not suite.rules:
         return _skip("custom")
     measures: dict[str, _Measure] = {}
@@ -307,7 +317,7 @@ def _custom(df: DataFrame, suite: QualitySuite) -> _Part:
                 log.warning("rule %s raised: %s", name, problem)
             continue
         measure = _Measure(name, count_where(F.expr(rule) if isinstance(rule, str) else rule))
-        if _evaluable(df, [measure]):
+        if name not in broken and _evaluable(df, [measure]):
             measures[f"custom_{i}"] = measure
             counts[name] = f"custom_{i}"
     return _Part(_draft("custom", counts, suite.deductions["custom"]), measures)
@@ -361,35 +371,44 @@ class Bounds:
     high: float
     smallest: float
     largest: float
+    infinite: int = 0
 
     @property
     def all_inside(self) -> bool:
-        return self.low <= self.smallest and self.largest <= self.high
+        return self.low <= self.smallest and self.largest <= self.high and not self.infinite
 
 
 def _spread_measures(df: DataFrame, names: list[str]) -> dict[str, _Measure]:
     measures = {}
     for i, name in enumerate(names):
-        c = measured(df, name)
+        c = quoted(name)
+        infinite = f"abs({c}) = double('infinity')" if is_fractional(df, name) else "false"
+        if is_fractional(df, name):  # NaN is above infinity
+            c = f"case when abs({c}) < double('infinity') then {c} end"
+        # Integers stay exact: doubles round beyond 2^53.
+        extreme = "{}" if is_integral(df, name) else "cast({} as double)"
         measures |= {
+            f"infinite_{i}": _Measure(name, F.expr(f"count_if({infinite})")),
             f"avg_{i}": _Measure(name, F.expr(f"cast(avg({c}) as double)"), 2),
             f"stddev_{i}": _Measure(name, F.expr(f"stddev_samp({c})"), 3),
-            f"min_{i}": _Measure(name, F.expr(f"cast(min({c}) as double)")),
-            f"max_{i}": _Measure(name, F.expr(f"cast(max({c}) as double)")),
+            f"min_{i}": _Measure(name, F.expr(extreme.format(f"min({c})"))),
+            f"max_{i}": _Measure(name, F.expr(extreme.format(f"max({c})"))),
         }
     return measures
 
 
 def _bounds(row: Mapping, names: list[str], sigma: float) -> dict[str, Bounds]:
-    """Columns without spread, or with an infinite one, have no bounds."""
+    """Mean and deviation are those of the finite values; every infinite value is an outlier. Columns without spread have
+    no bounds unless they hold such a value, and then no finite value is outside."""
     found = {}
     for i, name in enumerate(names):
-        mean, deviation = row[f"avg_{i}"], row[f"stddev_{i}"]
+        mean, deviation, infinite = row[f"avg_{i}"], row[f"stddev_{i}"], row[f"infinite_{i}"]
         if mean is None or not deviation or not math.isfinite(mean) or not math.isfinite(deviation):
+            if infinite:
+                found[name] = Bounds(-sys.float_info.max, sys.float_info.max, 0.0, 0.0, infinite)
             continue
-        found[name] = Bounds(
-            mean - sigma * deviation, mean + sigma * deviation, row[f"min_{i}"], row[f"max_{i}"]
-        )
+        low, high = mean - sigma * deviation, mean + sigma * deviation
+        found[name] = Bounds(low, high, row[f"min_{i}"], row[f"max_{i}"], infinite)
     return found
 
 
@@ -402,7 +421,8 @@ def is_outlier(df: DataFrame, name: str, bounds: Bounds) -> Column:
     if not is_fractional(df, name):
         c = c.cast("double")
     # NaN sorts above every number, so the largest real value keeps it out.
-    return ((c > F.lit(bounds.high)) & (c <= F.lit(bounds.largest))) | (c < F.lit(bounds.low))
+    outside = ((c > F.lit(bounds.high)) & (c <= F.lit(bounds.largest))) | (c < F.lit(bounds.low))
+    return outside | (c == F.lit(math.inf)) if bounds.infinite else outside
 
 
 def _anomalies(df: DataFrame, suite: QualitySuite, names: list[str], row: Mapping) -> DataFrame | _Part:
@@ -448,10 +468,11 @@ def _scans(measures: dict[str, _Measure]) -> list[list[str]]:
 
 
 def _side_by_side(frames: list[DataFrame]) -> DataFrame:
-    """One-row frames as one row, computed."""
+    """One-row frames as one row, computed at the same time."""
     columns = {}
-    for frame in frames:
-        row = frame.toArrow()
+    with ThreadPoolExecutor(len(frames)) as pool:
+        rows = list(pool.map(DataFrame.toArrow, frames))
+    for row in rows:
         columns |= {name: row.column(name) for name in row.column_names}
     schema = T.StructType([f for frame in frames for f in frame.schema.fields])
     return frames[0].sparkSession.createDataFrame(pa.table(columns), schema=schema)
@@ -460,15 +481,57 @@ def _side_by_side(frames: list[DataFrame]) -> DataFrame:
 def run_checks(df: DataFrame, suite: QualitySuite, only: Iterable[str] = CHECKS) -> DataFrame:
     """One row per check: ``position, check, status, violations, detail, deduction, findings``.
 
-    ``only`` selects checks. The row of a shared scan is computed at once when the anomaly check needs its bounds or
-    the table has too many columns for one scan; otherwise the whole run is one lazy plan.
+    ``only`` selects checks. The rows are computed once, when this is called, whatever the checks and the number of
+    columns: looking at them again reads nothing.
+
+    A rule that fails on the data (not for lack of storage or of the cluster) is found by measuring the rules one by one;
+    it fails without costing points, and all else comes from one scan again.
     """
     only = set(only)
     unknown = only - set(CHECKS)
     if unknown:
         raise ValueError(f"no such checks: {sorted(unknown)}")
 
-    parts = {check: build(df, suite) for check, build in _SHARED.items() if check in only}
+    try:
+        return settled(_run(df, suite, only, frozenset()))
+    except DATA_ERRORS:
+        broken = _broken_rules(df, suite) if "custom" in only else frozenset()
+        if not broken:
+            raise
+        return settled(_run(df, suite, only, broken))
+
+
+# What an expression raises on the data it meets.
+DATA_ERRORS = (
+    ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, NumberFormatException,
+    IllegalArgumentException, SparkRuntimeException,
+)
+
+
+def _broken_rules(df: DataFrame, suite: QualitySuite) -> frozenset[str]:
+    """The rules whose count fails on the data."""
+    broken = set()
+    for name, measure in _custom_measures(df, suite).items():
+        try:
+            df.agg(measure.aggregate).collect()
+        except DATA_ERRORS as problem:
+            log.warning("rule %s failed on the data: %s", name, problem)
+            broken.add(name)
+    return frozenset(broken)
+
+
+def _custom_measures(df: DataFrame, suite: QualitySuite) -> dict[str, _Measure]:
+    written = {name: rule for name, rule in suite.rules.items() if isinstance(rule, (str, Column))}
+    measures = {
+        name: _Measure(name, count_where(F.expr(rule) if isinstance(rule, str) else rule)) for name, rule in written.items()
+    }
+    return {name: measure for name, measure in measures.items() if _evaluable(df, [measure])}
+
+
+def _run(df: DataFrame, suite: QualitySuite, only: set[str], broken: frozenset[str] = frozenset()) -> DataFrame:
+    """The checks as one plan, with the shared scan computed where later ones need its numbers."""
+    builders = dict(_SHARED) | {"custom": lambda df, suite: _custom(df, suite, broken)}
+    parts = {check: build(df, suite) for check, build in builders.items() if check in only}
     if not _evaluable(df, [m for part in parts.values() for m in part.measures.values()]):
         parts = {
             check: part if _evaluable(df, part.measures.values()) else _error(check, suite)
@@ -480,6 +543,7 @@ def run_checks(df: DataFrame, suite: QualitySuite, only: Iterable[str] = CHECKS)
     numeric = numeric_columns(df) if "anomalies" in only else []
     measures |= _spread_measures(df, numeric)
     scans = [df.agg(*[measures[n].aggregate.alias(n) for n in names]) for names in _scans(measures)]
+    # Settled with the rest unless its numbers are needed now, or it comes in several frames.
     shared = _side_by_side(scans) if numeric or len(scans) > 1 else scans[0]
 
     own: list[DataFrame | _Part] = []

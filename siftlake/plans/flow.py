@@ -39,17 +39,17 @@ def run_flow(
     ingest = ingest_events(spark, source, raw, f"{root}/checkpoints/raw", schema=schema)
     if not ingest.succeeded:
         return Flow(ingest)
-    exported = gated_export(read_path(spark, raw), export)
+    exported = gated_export(read_path(spark, raw, merge_schema=True), export)
     if not exported.exported:
         return Flow(ingest, exported)
-    validation = validation_report(read_path(spark, export))
+    validation = validation_report(read_path(spark, export, merge_schema=True))
     return Flow(ingest, exported, validation, fill_layers(spark, export, f"{root}/layers", layer_prefix))
 
 
 def fill_layers(spark: SparkSession, export: str, location: str, prefix: str = "") -> DataFrame:
     """Register the export as bronze, refill silver and gold from it, and list the tables."""
     bronze_name, silver_name, gold_name = names = catalog.create_layers(spark, prefix, location)
-    stored = read_path(spark, export)
+    stored = read_path(spark, export, merge_schema=True)
     bronze = spark.table(catalog.create_bronze_table(spark, bronze_name, export, stored.schema))
     silver = silver_events(bronze)
     silver_table = catalog.create_silver_table(spark, silver_name, silver.schema)

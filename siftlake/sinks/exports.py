@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from siftlake.functions.columns import with_partition_date
 from siftlake.schemas import PARTITION_COLUMN
@@ -13,35 +12,23 @@ def write_plain(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").save(path)
 
 
-# Without a shuffle every task writes one file per date it holds. Up to this many on average are fine.
-_DATES_PER_TASK = 2
-
-
-def _dates_are_scattered(df: DataFrame) -> bool:
-    """Whether writing as it lies would leave many small files; reads nothing but the date."""
-    per_task = df.groupBy(F.spark_partition_id().alias("task"), F.col(PARTITION_COLUMN)).count()
-    files, tasks = per_task.agg(F.count(F.lit(1)), F.count_distinct("task")).first()
-    return files > _DATES_PER_TASK * tasks
-
-
 def write_by_date(
     df: DataFrame,
     path: str,
     replace_all: bool = True,
-    rebalance: bool | None = None,
+    rebalance: bool = True,
     max_records_per_file: int | None = None,
 ) -> None:
     """Overwrite a Parquet dataset partitioned by ``ingestion_date``.
 
     ``replace_all`` drops the dates that the input lacks; otherwise only the dates in the input are replaced.
 
-    A table appended to over time is in date order already, so each task writes its one or two dates and nothing is
-    shuffled. Where dates are scattered over the tasks, rows are rebalanced first: a date becomes few files of AQE's
-    advisory size, and one that holds much of the data is split over several tasks. ``rebalance`` forces either way and
-    saves the look at the dates.
+    Rows are rebalanced by date first: a date becomes few files of AQE's advisory size, and one that holds much of the
+    data is split over several tasks. ``rebalance=False`` writes the rows as they lie, without a shuffle: for tables
+    known to be in date order, where each task writes its one or two dates.
     """
     df = with_partition_date(df)
-    if _dates_are_scattered(df) if rebalance is None else rebalance:
+    if rebalance:
         df = df.hint("rebalance", PARTITION_COLUMN)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static" if replace_all else "dynamic")
     if max_records_per_file is not None:

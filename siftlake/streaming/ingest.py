@@ -39,7 +39,7 @@ def append_stream(
         stream.writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .option("mergeSchema", "true")
+        .option("mergeSchema", "true")  # for formats with a log; Parquet files are united when they are read
     )
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -69,7 +69,7 @@ class IngestCheck:
 
 
 def check_ingested(spark: SparkSession, path: str, fmt: str = "parquet") -> IngestCheck:
-    table = read_path(spark, path, fmt)
+    table = read_path(spark, path, fmt, merge_schema=True)
     nulls = settled(run_checks(table, QualitySuite(critical_columns=CRITICAL_COLUMNS), only=["nulls"]))
     stats = settled(dataset_stats(table))
     return IngestCheck(nulls, stats, stats.first()["total_rows"] > 0)

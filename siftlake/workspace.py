@@ -45,6 +45,25 @@ def remove(spark: SparkSession, path: str) -> None:
     file_system.delete(target, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within its store."""
+    file_system, old = _file_system(spark, source)
+    if not file_system.rename(old, _file_system(spark, target)[1]):
+        raise OSError(f"{source} can't be renamed to {target}")
+
+
+def partition_folders(spark: SparkSession, path: str) -> list[str]:
+    """The columns of a dataset that are names of folders (``column=value``), outermost first."""
+    file_system, at = _file_system(spark, path)
+    columns = []
+    while True:
+        folders = [s.getPath() for s in file_system.listStatus(at) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not folders:
+            return columns
+        columns.append(folders[0].getName().split("=", 1)[0])
+        at = folders[0]
+
+
 class Scratch:
     """Working tables of one job, below one new path.
 

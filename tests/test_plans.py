@@ -4,8 +4,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from siftlake.operators import layers, mutations, profile
-from siftlake.operators.quality import CHECKS, QualitySuite, run_checks
+from siftlake.operators import layers, mutations, profile, quality
+from siftlake.operators.quality import CHECKS, QualitySuite
 from siftlake.sinks.exports import write_by_date
 from siftlake.sources.tables import read_path
 
@@ -37,7 +37,7 @@ def test_all_counting_checks_share_one_scan(spark, tmp_path):
         critical_columns=["id", "value", "type"], numeric_ranges={"value": (0, 50)}, rules={"r": "value < 0"}
     )
     shared = set(CHECKS) - {"duplicates", "anomalies", "distribution"}
-    text = physical(run_checks(df, suite, shared))
+    text = physical(quality._run(df, suite, shared))
     assert text.count("FileScan") == 1
     assert text.count("Exchange") == text.count("Exchange SinglePartition") == 1
 
@@ -45,7 +45,7 @@ def test_all_counting_checks_share_one_scan(spark, tmp_path):
 def test_a_whole_run_has_few_narrow_scans_and_no_join(spark, tmp_path):
     df = table(spark, tmp_path)
     suite = QualitySuite(critical_columns=["id"], key_columns=["id", "timestamp"], partition_column="ingestion_date")
-    text = physical(run_checks(df, suite))
+    text = physical(quality._run(df, suite, set(CHECKS)))
     # The shared scan is done; no column has an outlier, so keys and partitions remain.
     assert text.count("FileScan") == 2 and "Join" not in text and "Cartesian" not in text
     keys, dates = re.findall(r"ReadSchema: (\S+)", text)
@@ -55,7 +55,7 @@ def test_a_whole_run_has_few_narrow_scans_and_no_join(spark, tmp_path):
 def test_outlier_bounds_reach_the_reader(spark, tmp_path):
     df = table(spark, tmp_path).withColumn("value", F.when(F.col("id") == 7, 10**6).otherwise(F.col("value")))
     df.write.parquet(str(tmp_path / "o"))
-    text = physical(run_checks(read_path(spark, str(tmp_path / "o")), QualitySuite(), ["anomalies"]))
+    text = physical(quality._run(read_path(spark, str(tmp_path / "o")), QualitySuite(), {"anomalies"}))
     pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema: (\S+)", text)
     assert "GreaterThan(value," in pushed[1] and "LessThan(value," in pushed[1]
     assert pushed[2] == "struct<value:int>"

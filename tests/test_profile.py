@@ -120,3 +120,17 @@ def test_profile_of_many_columns(spark):
     assert len(found) == 70 and found["n69"].max == 621
     lengths = {r.column: r.max_length for r in profile.longest_strings(df).collect()}
     assert len(lengths) == 70 and lengths["s69"] == 69
+
+
+def test_extremes_beyond_doubles_are_exact(spark):
+    wide = spark.createDataFrame([(9007199254740993, 1.5), (9007199254740995, 2.5)], "id long, x double")
+    rows = {r["column"]: r for r in profile.numeric_profile(wide).collect()}
+    assert (rows["id"].min_exact, rows["id"].max_exact) == ("9007199254740993", "9007199254740995")
+    assert rows["x"].min_exact is None
+
+
+def test_one_key_form_for_texts_of_any_length(spark):
+    texts = spark.createDataFrame([("a",), ("a",), ("b" * 300,), ("b" * 300,), ("c" * 300,), (None,), (None,)], "t string")
+    for digest in (True, False):
+        found = profile.duplicate_count(texts, ["t"], digest_keys=digest).first()
+        assert tuple(found) == (7, 4, 3)

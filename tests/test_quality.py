@@ -131,7 +131,7 @@ def test_nan_is_neither_an_outlier_nor_hides_one(spark):
     results = run_checks(spark.createDataFrame(rows, "v double"), QualitySuite(), only=["anomalies"])
     assert findings(results).first().violations == 1
     infinite = spark.createDataFrame([(1.0,), (float("inf"),), (2.0,)], "v double")
-    assert check(infinite, "anomalies")[0] == "PASS"
+    assert check(infinite, "anomalies")[0] == "WARN"
 
 
 def test_distribution(spark):
@@ -245,3 +245,31 @@ def test_bounds_beyond_the_long_range(spark):
     biggest = 2**63 - 1
     df = spark.createDataFrame([(biggest,)] * 20 + [(-biggest,)], "v bigint")
     assert check(df, "anomalies") == ("WARN", "outliers in 1 cols", 0)
+
+
+def test_infinite_values_are_outliers(spark):
+    values = [1.0, 2.0] * 50 + [float("inf"), float("-inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "value double")
+    assert findings(run_checks(df, QualitySuite(), ["anomalies"])).first().violations == 2
+    alone = spark.createDataFrame([(float("inf"),)], "value double")
+    assert findings(run_checks(alone, QualitySuite(), ["anomalies"])).first().violations == 1
+
+
+def test_a_rule_that_fails_on_the_data_fails_alone(spark):
+    suite = QualitySuite(rules={"bad": "cast(type as int) < 0", "ok": "id < 0", "found": "id = 1"})
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "id int, type string")
+    results = run_checks(df, suite)
+    rows = {r.check: r for r in results.collect()}
+    assert len(rows) == 10 and rows["custom"].status == "FAIL" and rows["custom"].deduction == 10
+    assert {r.column: r.violations for r in findings(results).where("check = 'custom'").collect()} == {
+        "bad": None, "ok": 0, "found": 1
+    }
+
+
+def test_results_are_computed_once(spark):
+    results = run_checks(spark.range(5), QualitySuite(key_columns=["id"]))
+    spark.sparkContext.setJobGroup("again", "again")
+    results.collect(), report(results).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("again")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "FileScan" not in results._jdf.queryExecution().toString() and len(jobs) <= 3

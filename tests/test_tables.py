@@ -73,7 +73,7 @@ def test_dates_in_order_are_written_without_a_shuffle(spark, tmp_path):
     ordered = bronze(spark, 3000).withColumn(
         "ingestion_date", F.date_add(F.lit(DAY), F.floor(F.col("id") / 600).cast("int"))
     )
-    write_by_date(ordered, str(tmp_path / "x"))
+    write_by_date(ordered, str(tmp_path / "x"), rebalance=False)
     files = len(list((tmp_path / "x").glob("*/*.parquet")))
     assert 5 < files <= 5 + spark.sparkContext.defaultParallelism
     assert read_path(spark, str(tmp_path / "x")).count() == 3000
@@ -278,6 +278,51 @@ def test_shared_folder(spark):
     assert first != second and first.startswith(workspace.shared_root(spark))
 
 
+def test_an_export_runs_one_job_for_its_rows(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("export", "export")
+    write_by_date(bronze(spark), str(tmp_path / "x"), rebalance=False)
+    jobs = tracker.getJobIdsForGroup("export")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1
+
+
+def test_columns_that_appear_or_disappear_are_kept(spark, tmp_path):
+    export, layers_at = str(tmp_path / "export"), str(tmp_path / "layers")
+    write_by_date(bronze(spark, 10), export)
+    fill_layers(spark, export, layers_at, "grow_")
+    later = bronze(spark, 20).where("id >= 10").withColumn("note", F.lit("new")).drop("kafka_partition")
+    later.write.mode("append").partitionBy("ingestion_date").parquet(export)
+    fill_layers(spark, export, layers_at, "grow_")
+    silver = {r.id: r for r in spark.table("grow_silver.events_cleaned").collect()}
+    assert [silver[i].note for i in (0, 9, 10, 19)] == [None, None, "new", "new"]
+    assert silver[0].kafka_partition == 0 and silver[19].kafka_partition is None
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP SCHEMA grow_{layer} CASCADE")
+
+
+def test_delete_in_place_keeps_the_partitions(spark, tmp_path):
+    path = str(tmp_path / "x")
+    write_by_date(bronze(spark), path)
+    where, counts = mutations.delete_from_path(spark, path, "id < 10")
+    assert where == path and counts.first().remaining_rows == 40
+    assert read_path(spark, path).where("id < 10").count() == 0
+    assert len(list(Path(path).glob("ingestion_date=*"))) == 3 and [p.name for p in tmp_path.iterdir()] == ["x"]
+
+
+def test_silver_keeps_columns_without_an_order(spark):
+    mapped = bronze(spark, 4).unionAll(bronze(spark, 4)).withColumn("tags", F.create_map(F.lit("a"), F.col("id")))
+    assert layers.silver_events(mapped).count() == 4
+
+
+def test_absurd_times_have_no_day(spark):
+    odd = bronze(spark, 3).withColumn("timestamp", F.lit(9223372036854775807))
+    assert [r.event_date for r in layers.gold_by_type_and_date(odd).collect()] == [None]
+    odd.createOrReplaceTempView("odd_silver")
+    _, per_day = layers.create_gold_views(spark, "odd_silver")
+    assert [r.event_date for r in spark.table(per_day).collect()] == [None]
+
+
 class Bare:
     class conf:
         get = staticmethod(lambda key, default: default)
