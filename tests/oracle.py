@@ -78,7 +78,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("OFF")
     con, sql, bad = connect(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
-        if chosen and name not in chosen:
+        if name not in sql or (chosen and name not in chosen):
             continue
         start = time.time()
         try:
