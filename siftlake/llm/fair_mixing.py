@@ -8,6 +8,8 @@ by their weights, as the targets do.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ SHARE = 1.5
 MOST = 2
 SEED = "mix"
 # Rows that are put in order together; the number of such runs follows the number of rows.
-ROWS_PER_RUN = 50_000
+ROWS_PER_RUN = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -131,7 +133,8 @@ def mix(
     copies = F.sequence(F.lit(0), F.lit(most - 1))
     ordered = _in_order(slim, planned, offsets, runs).withColumn("copy", F.explode(copies))
     queue = scratch.settle(ordered.select(_place(F.col("copy")).alias("at")), "queue")
-    last = _last_taken(queue, total * share, runs * most)
+    # As many ranges as a range has copies, so that neither many ranges nor a long one has to be put in order.
+    last = _last_taken(queue, total * share, math.isqrt(rows * most) + 1)
     ordered = _in_order(_measured(docs), planned, offsets, runs)
     taken = F.lit(0)
     if last is not None:
@@ -150,7 +153,6 @@ def _last_taken(queue: DataFrame, budget: float, ranges: int):
         return None
     within = queue.withColumn("range", F.floor(F.col("at.finish") / latest * ranges).cast("int"))
     sums = within.groupBy("range").agg(F.sum("at.size").alias("of_range"))
-    # One row per range; the ranges follow the number of rows as the runs do.
     running = sums.withColumn("upto", F.sum("of_range").over(Window.orderBy("range")))
     crossed = running.where(F.col("upto") > budget).orderBy("range").first()
     if crossed is None:
