@@ -18,7 +18,7 @@ RACKS_PER_REGION = 4
 SHARDS_PER_RACK = 5
 SHARDS = 40
 LAW = "key"
-ROWS_PER_PART = 50_000
+ROWS_PER_PART = 10_000
 
 # Names of regions, of racks and numbers of shards, with the weights of the shards.
 Tree = Mapping[str, Mapping[str, Mapping[int, float]]]
