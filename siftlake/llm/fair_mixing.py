@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftlake.llm.columns import put_aside
 from siftlake.workspace import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,6 +23,8 @@ MOST = 2
 SEED = "mix"
 # Rows that are put in order together; the number of such runs follows the number of rows.
 ROWS_PER_RUN = 10_000
+# The columns of the result beside those of the documents.
+NEW = ("size", "source_size", "target", "copies", "taken")
 
 
 def word_count(text: Column) -> Column:
@@ -115,8 +118,15 @@ def mix(
     The order within a source is summed in runs of the shuffle and over the runs, the order of all copies in ranges of
     the finish and over the ranges, so that neither a large source nor the whole goes through one task.
     """
-    new = ["size", "source_size", "target", "copies", "taken"]
-    docs = docs.drop(*new)
+    mixed, own = _mixed(docs.drop(*NEW), weights, share, most)
+    return mixed.select(*own.values(), *NEW)
+
+
+def _mixed(
+    docs: DataFrame, weights: DataFrame | None, share: float, most: int
+) -> tuple[DataFrame, dict[str, Column]]:
+    """The columns of ``docs``, put aside, with the new ones, and the expressions that name the former again."""
+    docs, own = put_aside(docs, ("doc_id", "text", "source"))
     scratch = Scratch(docs.sparkSession, "mix")
     slim = scratch.settle(_measured(docs.select("doc_id", "text", "source")).drop("text"), "sizes")
     if weights is None:
@@ -141,9 +151,9 @@ def mix(
         bound = F.struct(*(F.lit(last[f.name]).cast(f.dataType).alias(f.name) for f in queue.schema["at"].dataType))
         for copy in range(most):
             taken += (_place(F.lit(copy)) <= bound).cast("int")
-    return ordered.withColumn("copies", taken).select(
-        *docs.columns, "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
-    )
+    mixed = ordered.withColumn("copies", taken)
+    mixed = mixed.withColumn("taken", F.col("size") * F.col("copies"))
+    return mixed.select(*docs.columns, *NEW), own
 
 
 def _last_taken(queue: DataFrame, budget: float, ranges: int):
@@ -164,11 +174,13 @@ def _last_taken(queue: DataFrame, budget: float, ranges: int):
     return last or within.where(F.col("range") < crossed["range"]).agg(F.max("at")).first()[0]
 
 
-def repeated(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it is taken, with the columns of ``docs``."""
-    mixed = mix(docs, **options).where("copies > 0")
-    kept = [F.col(c) for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*kept)
+def repeated(
+    docs: DataFrame, weights: DataFrame | None = None, share: float = SHARE, most: int = MOST
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with all columns of ``docs``, whatever their names."""
+    mixed, own = _mixed(docs, weights, share, most)
+    taken = mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return taken.select(*own.values())
 
 
 ORACLE_SQL = r"""

@@ -12,6 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftlake.llm.columns import put_aside
+
 # A region holds four racks of five shards. Shards beyond the last full region are regions of their own until they fill
 # one, so that one more shard adds a subtree at the root and changes the weight of no other.
 RACKS_PER_REGION = 4
@@ -101,7 +103,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, tree: Tree | None = None, grow
     tree = tree or regular_tree(shards)
     grown = grown or regular_tree(shards + 1)
     text = F.coalesce("text", F.lit(""))
-    docs = docs.drop(*new)
+    docs, own = put_aside(docs.drop(*new), ("doc_id", "text"))
     parts = -(-docs.count() // (ROWS_PER_PART * shards)) or 1
     placed = docs.withColumns(
         {
@@ -118,7 +120,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, tree: Tree | None = None, grow
     within = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size")
     numbered = placed.withColumn("number", F.row_number().over(within) - 1).join(offsets, ["shard", "part"])
     return numbered.select(
-        *docs.columns, "size", "text_crc32", "law", "shard", (F.col("before") + F.col("number")).alias("slot"), "grown_shard"
+        *own.values(), "size", "text_crc32", "law", "shard", (F.col("before") + F.col("number")).alias("slot"), "grown_shard"
     )
 
 

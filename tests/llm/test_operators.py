@@ -28,8 +28,12 @@ from siftlake.llm.tokens import WORD_CHARS, Words
 from siftlake.workspace import Scratch
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-# New columns of operators, as columns of the input.
-CLASHING = "doc_id long, text string, lang string, source string, n_chars long, size string, shard string, score string, node string, id long, spans string, copies int"
+# New and passing columns of operators, as columns of the input.
+NAMES = (
+    "size shard score node id spans copies copy weight place draw tie run so_far named planned before part number taken "
+    "target law slot rules blob registers component_id kept toxic quality at finish level rows item_id similarity"
+).split()
+CLASHING = ", ".join([SCHEMA, *(f"{name} string" for name in NAMES)])
 LONG = " ".join(f"w{i}" for i in range(20_000))
 ODD = [
     (1, None, None, None, None),
@@ -50,7 +54,7 @@ def odd(spark):
 
 
 def clashing(spark):
-    return spark.createDataFrame([(*row, "x", "x", "x", "x", 9, "x", 9) for row in ODD], CLASHING)
+    return spark.createDataFrame([(*row, *(f"own {name}" for name in NAMES)) for row in ODD], CLASHING)
 
 
 def none(spark):
@@ -84,6 +88,25 @@ def test_odd_rows_give_a_row_each(spark, name):
     assert OPERATORS[name](none(spark)).collect() == []
 
 
+FILTERS = {
+    "keep_one": lambda d: setsketch_dedup.keep_one(d),
+    "repeated": lambda d: fair_mixing.repeated(d),
+    "without_toxic": lambda d: crf_toxicity.without_toxic(d, labels(d.sparkSession)),
+    "without_contaminated": lambda d: simhash_decontamination.without_contaminated(
+        d, d.sparkSession.createDataFrame([(1, "an item of some five words")], "item_id long, text string")
+    ),
+}
+
+
+@pytest.mark.parametrize("name", FILTERS)
+def test_extra_columns_stay_as_they_are(spark, name):
+    found = FILTERS[name](clashing(spark))
+    assert found.columns == clashing(spark).columns
+    rows = found.collect()
+    assert rows and all(row[name] == f"own {name}" for row in rows for name in NAMES)
+    assert FILTERS[name](none(spark)).collect() == []
+
+
 def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
