@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftlake.llm.sampling import sample
 from siftlake.llm.tokens import WORD_CHARS, Words, mix, over_batches, slices
 
 # The classifier is fitted to this many labelled documents at most, those with the smallest hash of their id.
@@ -288,10 +289,10 @@ def learnable(labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -> Model | None:
-    """A model from at most ``limit`` labelled documents, whose texts the driver holds while it fits."""
+    """A model from at most ``limit`` labelled documents and ``SAMPLE_BYTES``, whose texts the driver holds while it
+    fits."""
     chosen = learnable(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "doc_id")
-    table = rows.dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
+    table = sample(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     return fit(table["text"].combine_chunks(), table["toxic"].to_numpy()) if table.num_rows else None
 
 

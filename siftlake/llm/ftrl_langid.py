@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftlake.llm.sampling import sample
 from siftlake.llm.tokens import slices, utf8
 
 # The classifier is fitted to this many documents at most, those with the smallest hash of their id.
@@ -168,11 +169,11 @@ def fit(texts: pa.Array, languages: list[str], idf: np.ndarray) -> Model:
 
 
 def train(docs: DataFrame, limit: int = TRAIN_DOCUMENTS) -> Model | None:
-    """A model from at most ``limit`` documents, whose texts the driver holds while it fits; None without any."""
+    """A model from at most ``limit`` documents and ``SAMPLE_BYTES``, whose texts the driver holds while it fits; None
+    without any."""
     rows = learnable(docs)
     chosen = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).distinct()
-    sample = rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id")
-    table = sample.select("text", "lang").toArrow()
+    table = sample(rows.join(F.broadcast(chosen), "doc_id"))
     if not table.num_rows:
         return None
     return fit(table["text"].combine_chunks(), table["lang"].to_pylist(), inverse_frequencies(rows))

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftlake.llm.sampling import sample
 from siftlake.llm.tokens import slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -263,11 +264,10 @@ def _joined(spans: list[Span]) -> str:
 
 
 def train(docs: DataFrame, limit: int = TRAIN_DOCUMENTS) -> Field:
-    """A field from at most ``limit`` documents, whose texts the driver holds while it fits."""
+    """A field from at most ``limit`` documents and ``SAMPLE_BYTES``, whose texts the driver holds while it fits."""
     chosen = docs.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     rows = docs.select("doc_id", "text").where("text RLIKE '[0-9@]'")
-    rows = rows.join(F.broadcast(chosen.distinct()), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id")
-    return fit([r.text for r in rows.select("text").collect()])
+    return fit(sample(rows.join(F.broadcast(chosen.distinct()), "doc_id"))["text"].to_pylist())
 
 
 def personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:

@@ -24,6 +24,7 @@ from siftlake.llm import (
     tree_sharding,
 )
 from siftlake.llm.components import components
+from siftlake.llm.sampling import sample
 from siftlake.llm.tokens import WORD_CHARS, Words
 from siftlake.workspace import Scratch
 
@@ -441,3 +442,13 @@ def test_quality_by_both_views(spark):
     assert all((r.score >= 0.5) == bool(r.doc_id % 2) for r in found)
     assert np.mean([(r.metadata_score >= 0.5) == bool(r.doc_id % 2) for r in found]) > 0.8
     assert {r.score for r in cotraining_quality.qualities(docs, labels(spark)).collect()} == {0.5}
+
+
+def test_samples_keep_within_their_bytes(spark):
+    rows = [(i, "x" * (i % 7)) for i in range(100)] + [(3, "xxx"), (200, "y" * 60), (201, None)]
+    table = sample(spark.createDataFrame(rows, "doc_id long, text string"), sample_bytes=80, text_bytes=50)
+    ids, texts = table["doc_id"].to_pylist(), table["text"].to_pylist()
+    assert ids == sorted(set(ids)) and 200 not in ids and 60 < sum(len(t or "") for t in texts) <= 80
+    everything = sample(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert everything["doc_id"].to_pylist() == [*range(100), 200, 201]
+    assert sample(spark.createDataFrame([], "doc_id long, text string")).num_rows == 0
