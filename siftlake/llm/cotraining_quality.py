@@ -3,10 +3,14 @@
 Both start from labelled documents. In each round each of them names the unlabelled documents it is surest of, good ones and bad
 ones in the proportion of the labels, and the other one learns these too. At the end both are calibrated on labelled
 documents set aside, and a logistic function of both calibrated views scores every document.
+
+All unlabelled documents are offered and judged where they lie. What a view teaches is a rule (weights and two bounds) that any
+task can apply to a row, so that the driver holds weights, counts and sums only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,14 +18,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftlake.llm.tokens import Words, mix, over_batches, utf8
+from siftlake.llm.tokens import Words, fixed_binary, mix, over_batches, unit, utf8
+from siftlake.workspace import Scratch
 
-# Both classifiers are fitted to so many labelled and unlabelled documents at most, those with the smallest hash of
-# their id; only their features reach the driver.
+# So many labelled documents are learned from at most, those with the smallest hash of their id; only their features reach
+# the driver.
 TRAIN_DOCUMENTS = 6000
-POOL_DOCUMENTS = 12000
 ROUNDS = 5
-PER_ROUND = 400
+# Of all unlabelled documents, one in so many is named by each view in each round.
+ONE_IN = 30
+# Logits from -30 to 30 are counted in so many bins.
+BINS = 1 << 14
 UNKNOWN = 0.5
 SCORE_SCHEMA = "score double, text_score double, metadata_score double"
 
@@ -29,6 +36,7 @@ _MARKS = np.frombuffer(b"#$%&*|@+=_<>{}[]()/;:!?,.'\"-\n\t", np.uint8)
 N_TEXT = 1 + len(_MARKS) + 8
 _SOURCES, _LANGS, _LENGTHS = 64, 16, 24
 N_METADATA = 1 + _SOURCES + _LANGS + _LENGTHS
+_CELLS = _SOURCES * _LANGS * _LENGTHS
 
 
 def text_features(column: pa.Array) -> np.ndarray:
@@ -73,41 +81,74 @@ def _hashed(column: pa.Array, buckets: int) -> np.ndarray:
     return (mix(codes) % np.uint64(buckets)).astype(int)
 
 
-def metadata_features(source: pa.Array, lang: pa.Array, n_chars: np.ndarray) -> np.ndarray:
-    """Per document: 1, its source and its language (hashed) and the size class of its length, one place each."""
-    out = np.zeros((len(n_chars), N_METADATA))
-    rows = np.arange(len(out))
-    out[:, 0] = 1
-    out[rows, 1 + _hashed(source, _SOURCES)] = 1
-    out[rows, 1 + _SOURCES + _hashed(lang, _LANGS)] = 1
+def metadata_cells(source: pa.Array, lang: pa.Array, n_chars: np.ndarray) -> np.ndarray:
+    """Per document one number for its source and its language (hashed) and the size class of its length."""
     size = np.clip(np.log2(np.maximum(n_chars, 1)) * 1.5, 0, _LENGTHS - 1).astype(int)
-    out[rows, 1 + _SOURCES + _LANGS + size] = 1
+    return (_hashed(source, _SOURCES) * _LANGS + _hashed(lang, _LANGS)) * _LENGTHS + size
+
+
+def _places(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of a cell's source, language and size class among the features."""
+    source, lang = cells // (_LANGS * _LENGTHS), cells // _LENGTHS % _LANGS
+    return 1 + source, 1 + _SOURCES + lang, 1 + _SOURCES + _LANGS + cells % _LENGTHS
+
+
+def metadata_features(cells: np.ndarray) -> np.ndarray:
+    """Per cell: 1 and a 1 in each of its three places."""
+    out = np.zeros((len(cells), N_METADATA))
+    out[:, 0] = 1
+    for place in _places(cells):
+        out[np.arange(len(out)), place] = 1
     return out
 
 
+def _cells(batch: pa.RecordBatch) -> np.ndarray:
+    return metadata_cells(batch["source"], batch["lang"], batch["n_chars"].fill_null(0).to_numpy(zero_copy_only=False))
+
+
 def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    n_chars = batch["n_chars"].fill_null(0).to_numpy(zero_copy_only=False)
-    return text_features(batch["text"]), metadata_features(batch["source"], batch["lang"], n_chars)
+    return text_features(batch["text"]), metadata_features(_cells(batch))
 
 
 def _probability(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
-    """Newton's method with a penalty on all weights but the first."""
-    weights, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], penalty)
+def _sums(x: np.ndarray, y: np.ndarray, count: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Loss, gradient and Hessian, one after the other, of rows that stand for ``count`` documents each."""
+    z = x @ weights
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    loss = count @ (np.logaddexp(0, z) - y * z)
+    return np.concatenate([[loss], x.T @ (count * (p - y)), ((x * (count * p * (1 - p))[:, None]).T @ x).ravel()])
+
+
+def _newton(sums: Callable[[np.ndarray], np.ndarray], weights: np.ndarray, penalty: float = 1.0) -> np.ndarray:
+    """Newton's method from these weights on, with a penalty on all weights but the first. A step that makes things worse
+    is halved."""
+    n = len(weights)
+    ridge = np.full(n, penalty)
     ridge[0] = 1e-3
+    found = sums(weights)
     for _ in range(30):
-        p = _probability(x, weights)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge)
-        step = np.linalg.solve(hessian, x.T @ (y - p) - ridge * weights)
-        weights += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
+        step = np.linalg.solve(found[1 + n :].reshape(n, n) + np.diag(ridge), -found[1 : 1 + n] - ridge * weights)
+        step *= min(1, 2 / max(np.abs(step).max(), 1e-300))
+        worst = found[0] + (ridge * weights**2).sum() / 2
+        while np.abs(step).max() >= 1e-6:
+            ahead = sums(weights + step)
+            if ahead[0] + (ridge * (weights + step) ** 2).sum() / 2 <= worst + 1e-9 * abs(worst):
+                break
+            step /= 2
+        else:
             break
+        weights, found = weights + step, ahead
     return weights
 
 
+def fit_logistic(x: np.ndarray, y: np.ndarray, count: np.ndarray | None = None) -> np.ndarray:
+    count = np.ones(len(y)) if count is None else count
+    return _newton(lambda weights: _sums(x, y, count, weights), np.zeros(x.shape[1]))
+
+
 @dataclass(frozen=True)
 class Model:
     """The weights of both views, the calibration of each (offset and slope), and how they are combined."""
@@ -123,8 +164,165 @@ class Model:
         return _probability(both, self.combination), *(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in calibrated)
 
 
-def fit(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray]) -> Model | None:
-    """Every fourth labelled document is set aside for the calibration. None unless both labels occur."""
+@dataclass(frozen=True)
+class _Lesson:
+    """What one view (0: text, 1: metadata) teaches the other: documents whose logit lies below the bin ``low`` are bad, those
+    above the bin ``high`` good, and so is a share, by hash, of those in the two bins."""
+
+    teacher: int
+    weights: np.ndarray
+    low: int
+    low_share: float
+    high: int
+    high_share: float
+
+
+@dataclass(frozen=True)
+class _Rows:
+    """Unlabelled documents: text features, cells and a hash each."""
+
+    text: np.ndarray
+    cell: np.ndarray
+    tie: np.ndarray
+
+    @staticmethod
+    def of(batch: pa.RecordBatch) -> _Rows:
+        column = batch["text_view"].cast(pa.large_binary())
+        bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        text = np.frombuffer(column.buffers()[2], np.uint8)[bounds[0] : bounds[-1]].view(np.float32)
+        cell, tie = (batch[c].to_numpy(zero_copy_only=False) for c in ("cell", "tie"))
+        return _Rows(text.reshape(-1, N_TEXT).astype(np.float64), cell, tie.astype(np.uint64))
+
+    def bins(self, view: int, weights: np.ndarray) -> np.ndarray:
+        """The bin of each row's logit; a row gets the same in every batch."""
+        return _bins(_cell_logits(self.cell, weights) if view else (self.text * weights).sum(axis=1))
+
+    def judged(self, lessons: list[_Lesson]) -> tuple[np.ndarray, np.ndarray]:
+        """Who named each row first (0, 1, or -1 as long as nobody did) and the label it got."""
+        teacher, label = np.full(len(self.cell), -1), np.zeros(len(self.cell), int)
+        for number, lesson in enumerate(lessons):
+            at = self.bins(lesson.teacher, lesson.weights)
+            chance = unit(mix(self.tie + mix(np.array([number + 1]))))
+            bad = (at < lesson.low) | ((at == lesson.low) & (chance <= lesson.low_share))
+            good = (at > lesson.high) | ((at == lesson.high) & (chance > 1 - lesson.high_share))
+            fresh = (teacher < 0) & (bad | good)
+            teacher[fresh], label[fresh] = lesson.teacher, good[fresh]
+        return teacher, label
+
+
+def _cell_logits(cells: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    source, lang, size = _places(cells)
+    return weights[0] + weights[source] + weights[lang] + weights[size]
+
+
+def _bins(logits: np.ndarray) -> np.ndarray:
+    return np.minimum((np.clip(logits, -30, 30) + 30) * (BINS / 60), BINS - 1).astype(int)
+
+
+def _lesson(teacher: int, weights: np.ndarray, counts: np.ndarray, named: int, share: float) -> _Lesson:
+    """``counts``: how many documents that nobody named yet are in each bin."""
+    free = int(counts.sum())
+    good = min(int(round(named * share)), free // 2)
+    bad = min(named - good, free - good)
+
+    def border(ascending: np.ndarray, n: int) -> tuple[int, float]:
+        upto = np.cumsum(ascending)
+        at = int(np.searchsorted(upto, n))
+        return at, (n - (int(upto[at - 1]) if at else 0)) / int(ascending[at])
+
+    low = border(counts, bad) if bad else (-1, 0.0)
+    high = border(counts[::-1], good) if good else (-1, 0.0)
+    return _Lesson(teacher, weights, *low, BINS - 1 - high[0], high[1])
+
+
+class _Pool:
+    """All unlabelled documents (``text_view, cell, tie``) as a table that is read once for each question."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def _added(self, work: Callable[[_Rows], np.ndarray], places: int) -> np.ndarray:
+        """The sum over all rows of ``places`` numbers that ``work`` gives for a batch of them. Tasks add theirs first;
+        sums of decimals are the same in any order."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(places)
+            for batch in batches:
+                if batch.num_rows:
+                    total += work(_Rows.of(batch))
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_pydict({"place": at.astype(np.int32), "value": total[at]})
+
+        parts = self.rows.select("text_view", "cell", "tie").mapInArrow(run, "place int, value double")
+        added = parts.groupBy("place").agg(F.sum(F.col("value").cast("decimal(38,10)")).cast("double").alias("value"))
+        out = np.zeros(places)
+        for row in added.collect():
+            out[row.place] = row.value
+        return out
+
+    def bins(self, view: int, weights: np.ndarray, lessons: list[_Lesson]) -> np.ndarray:
+        """How many documents that nobody named yet are in each bin of a view."""
+
+        def work(rows: _Rows) -> np.ndarray:
+            return np.bincount(rows.bins(view, weights)[rows.judged(lessons)[0] < 0], minlength=BINS)
+
+        return np.rint(self._added(work, BINS)).astype(np.int64)
+
+    def cells(self, lessons: list[_Lesson]) -> np.ndarray:
+        """How many documents of each cell (columns) nobody named yet, and how many the text names bad, and good."""
+
+        def work(rows: _Rows) -> np.ndarray:
+            teacher, label = rows.judged(lessons)
+            kinds = (teacher < 0, (teacher == 0) & (label == 0), (teacher == 0) & (label == 1))
+            return np.concatenate([np.bincount(rows.cell[kind], minlength=_CELLS) for kind in kinds])
+
+        return np.rint(self._added(work, 3 * _CELLS)).astype(np.int64).reshape(3, _CELLS)
+
+    def text_sums(self, weights: np.ndarray, lessons: list[_Lesson]) -> np.ndarray:
+        """Loss, gradient and Hessian of the text's view over the documents that the metadata name."""
+
+        def work(rows: _Rows) -> np.ndarray:
+            teacher, label = rows.judged(lessons)
+            named = teacher == 1
+            return _sums(rows.text[named], label[named], np.ones(int(named.sum())), weights)
+
+        return self._added(work, 1 + N_TEXT * (N_TEXT + 1))
+
+
+def _taught(
+    known: tuple[np.ndarray, np.ndarray], y: np.ndarray, weights: list[np.ndarray], pool: _Pool
+) -> list[np.ndarray]:
+    """The weights of both views after all rounds."""
+    lessons: list[_Lesson] = []
+    every, share = np.arange(_CELLS), y.mean()
+    named = None
+    for _ in range(ROUNDS):
+        counts = pool.bins(0, weights[0], lessons)
+        if not counts.sum():
+            break
+        # As many in each round as in the first.
+        named = named or -(-int(counts.sum()) // ONE_IN)
+        lessons.append(_lesson(0, weights[0], counts, named, share))
+        free, bad, good = pool.cells(lessons)
+        at = _bins(_cell_logits(every, weights[1]))
+        lessons.append(_lesson(1, weights[1], np.bincount(at, weights=free, minlength=BINS).astype(np.int64), named, share))
+
+        def sums(w: np.ndarray) -> np.ndarray:
+            return _sums(known[0], y, np.ones(len(y)), w) + pool.text_sums(w, lessons)
+
+        seen = [np.flatnonzero(bad), np.flatnonzero(good)]
+        x = np.concatenate([known[1], *(metadata_features(cells) for cells in seen)])
+        label = np.concatenate([y, np.zeros(len(seen[0])), np.ones(len(seen[1]))])
+        weights = [
+            _newton(sums, weights[0]),
+            fit_logistic(x, label, np.concatenate([np.ones(len(y)), bad[seen[0]], good[seen[1]]])),
+        ]
+    return weights
+
+
+def fit(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: Callable[[], _Pool]) -> Model | None:
+    """Every fourth labelled document is set aside for the calibration. None unless both labels occur; the pool isn't asked for
+    then."""
     if len(np.unique(y)) < 2:
         return None
     aside = np.zeros(len(y), bool)
@@ -132,24 +330,8 @@ def fit(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.n
     learned = ~aside
     if len(np.unique(y[learned])) < 2:
         return None
-    share = y[learned].mean()
-    taught: list[tuple[list[np.ndarray], list[np.ndarray]]] = [([], []), ([], [])]
-    free = np.arange(len(pool[0]))
     weights = [fit_logistic(view[learned], y[learned]) for view in labelled]
-    for _ in range(ROUNDS):
-        for teacher, pupil in ((0, 1), (1, 0)):
-            p = _probability(pool[teacher][free], weights[teacher])
-            good = min(int(round(PER_ROUND * share)), len(free) // 2)
-            bad = min(PER_ROUND - good, len(free) - good)
-            order = np.argsort(p, kind="stable")
-            chosen = np.concatenate([order[:bad], order[len(order) - good :]]).astype(int)
-            taught[pupil][0].append(free[chosen])
-            taught[pupil][1].append(np.concatenate([np.zeros(bad), np.ones(good)]))
-            free = np.delete(free, chosen)
-        for view in (0, 1):
-            rows, label = np.concatenate(taught[view][0]), np.concatenate(taught[view][1])
-            x = np.concatenate([labelled[view][learned], pool[view][rows]])
-            weights[view] = fit_logistic(x, np.concatenate([y[learned], label]))
+    weights = _taught(tuple(view[learned] for view in labelled), y[learned], weights, pool())
     judged = aside if len(np.unique(y[aside])) > 1 else learned
     ones = np.ones(int(judged.sum()))
     logits = [np.clip(labelled[v][judged] @ weights[v], -30, 30) for v in (0, 1)]
@@ -160,9 +342,9 @@ def fit(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.n
 
 
 def _as_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    views = _features(batch)
-    lists = [pa.array(list(v.astype(np.float32)), pa.list_(pa.float32())) for v in views]
-    return pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "text_view": lists[0], "metadata_view": lists[1]})
+    views = fixed_binary(text_features(batch["text"]).astype(np.float32))
+    cells = pa.array(_cells(batch).astype(np.int32))
+    return pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "text_view": views, "cell": cells})
 
 
 def _columns(docs: DataFrame) -> DataFrame:
@@ -172,11 +354,21 @@ def _columns(docs: DataFrame) -> DataFrame:
     )
 
 
-def _views(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The features of these documents, of which there is a bounded number, by id."""
-    chosen = _columns(docs.join(F.broadcast(ids), "doc_id")).dropDuplicates(["doc_id"])
-    schema = "doc_id long, text_view array<float>, metadata_view array<float>"
-    return chosen.mapInArrow(over_batches(_as_rows), schema).orderBy("doc_id")
+def _views(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_view, cell`` of each row: its features as floats, and its metadata."""
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, text_view binary, cell int"
+    return _columns(docs).mapInArrow(over_batches(_as_rows), schema)
+
+
+def unlabelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``text_view, cell, tie`` of all documents without a label of their quality; rows that are equal in id and features are
+    one."""
+    marked = labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
+    marked = marked.where("doc_id IS NOT NULL AND quality IN (0, 1)").select("doc_id", F.lit(0).cast("long").alias("spread"))
+    # Rows without an id match no label; they go to as many tasks as the others.
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text_view", "cell")).otherwise(F.lit(0).cast("long"))
+    rows = _views(docs).withColumn("spread", spread).join(marked.distinct(), ["doc_id", "spread"], "left_anti").distinct()
+    return rows.select("text_view", "cell", F.xxhash64("doc_id", "text_view", "cell").alias("tie"))
 
 
 def learnable(labels: DataFrame) -> DataFrame:
@@ -188,24 +380,21 @@ def learnable(labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
-    def first(rows: DataFrame, n: int) -> DataFrame:
-        return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-
-    chosen = first(learnable(labels), TRAIN_DOCUMENTS)
-    known = _views(docs, chosen.select("doc_id")).join(F.broadcast(chosen), "doc_id").orderBy("doc_id").toArrow()
-    if not known.num_rows:
+    chosen = learnable(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS)
+    known = _views(docs.join(F.broadcast(chosen.select("doc_id")), "doc_id")).dropDuplicates(["doc_id"])
+    table = known.join(F.broadcast(chosen), "doc_id").withColumn("tie", F.lit(0).cast("long")).orderBy("doc_id").toArrow()
+    if not table.num_rows:
         return None
-    others = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    others = first(others.join(labels.select("doc_id").distinct(), "doc_id", "left_anti"), POOL_DOCUMENTS)
-    pool = _views(docs, others).toArrow()
-
-    def matrix(table: pa.Table, name: str, width: int) -> np.ndarray:
-        return np.array(table[name].to_pylist(), np.float64).reshape(-1, width)
-
-    views = [
-        (matrix(table, "text_view", N_TEXT), matrix(table, "metadata_view", N_METADATA)) for table in (known, pool)
-    ]
-    return fit(views[0], known["quality"].to_numpy().astype(float), views[1])
+    rows = _Rows.of(table.combine_chunks().to_batches()[0])
+    scratch = Scratch(docs.sparkSession, "cotraining")
+    try:
+        return fit(
+            (rows.text, metadata_features(rows.cell)),
+            table["quality"].to_numpy().astype(float),
+            lambda: _Pool(scratch.settle(unlabelled(docs, labels), "unlabelled")),
+        )
+    finally:
+        scratch.close()
 
 
 def qualities(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> DataFrame:

@@ -452,3 +452,31 @@ def test_samples_keep_within_their_bytes(spark):
     everything = sample(spark.createDataFrame(rows, "doc_id long, text string"))
     assert everything["doc_id"].to_pylist() == [*range(100), 200, 201]
     assert sample(spark.createDataFrame([], "doc_id long, text string")).num_rows == 0
+
+
+def test_quality_learns_from_all_unlabelled_documents(spark):
+    # Whatever the order of the hashes, the source of the last documents is known only from unlabelled ones.
+    ids = [r.id for r in spark.sql("SELECT id FROM range(15000) ORDER BY xxhash64(id), id").collect()]
+    rows, marked = [], []
+    for place, i in enumerate(ids):
+        late = place >= 13_000
+        good = bool(i % 2) and not late
+        source = "late" if late else "s1" if good == bool(i % 10) else "s2"
+        rows.append((i, "apple pear plum " * 5 if good else "apple ### $$$ ||| " * 5, "en", source, 80))
+        if place < 300:
+            marked.append((i, int(good), 0))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = cotraining_quality.qualities(docs, labels(spark, marked)).join(docs, "doc_id")
+    of = {r.source: r.score for r in found.groupBy("source").agg({"metadata_score": "avg"}).toDF("source", "score").collect()}
+    assert of["late"] < 0.1
+    pool = cotraining_quality.unlabelled(docs, labels(spark, [*marked, (ids[-1], None, 1)]))
+    assert pool.count() == len(ids) - len(marked)
+
+
+def test_quality_weights_converge_from_far_away():
+    random = np.random.default_rng(5)
+    x = np.stack([np.ones(400), random.normal(size=400), random.normal(size=400) * 5], axis=1)
+    y = (random.random(400) < 0.5).astype(float)
+    fitted = cotraining_quality.fit_logistic(x, y)
+    far = cotraining_quality._newton(lambda w: cotraining_quality._sums(x, y, np.ones(400), w), np.array([9.0, -8.0, 7.0]))
+    assert far == pytest.approx(fitted, abs=1e-4)
