@@ -77,25 +77,32 @@ def _associations(words: _Codes, toxic: np.ndarray) -> tuple[np.ndarray, np.ndar
     return distinct, ratio / np.sqrt(1 / (in_toxic + 0.5) + 1 / (in_clean + 0.5)), in_toxic
 
 
-def _marginals_of_windows(emission: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Of windows of equal length: the probability of the toxic state at each token, of each transition between
-    neighbours (summed over all), and the log normaliser (summed)."""
+def _marginals_of_windows(
+    emission: np.ndarray, transitions: np.ndarray, inside: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Of windows whose places ``inside`` (one run each) hold tokens: the probability of the toxic state at each token, of each
+    transition between neighbours (summed over all), and the log normaliser (summed). Places outside have no part."""
     n, length = emission.shape
+    first = inside & ~np.concatenate([np.zeros((n, 1), bool), inside[:, :-1]], axis=1)
     scores = np.stack([np.zeros_like(emission), emission], axis=2)
     forward, backward = np.zeros((n, length, 2)), np.zeros((n, length, 2))
     forward[:, 0] = scores[:, 0] + transitions[0]
     for t in range(1, length):
-        forward[:, t] = np.logaddexp.reduce(forward[:, t - 1, :, None] + transitions, axis=1) + scores[:, t]
+        step = np.logaddexp.reduce(forward[:, t - 1, :, None] + transitions, axis=1) + scores[:, t]
+        step = np.where(first[:, t, None], scores[:, t] + transitions[0], step)
+        forward[:, t] = np.where(inside[:, t, None], step, forward[:, t - 1])
     for t in range(length - 2, -1, -1):
-        backward[:, t] = np.logaddexp.reduce(transitions + (scores[:, t + 1] + backward[:, t + 1])[:, None, :], axis=2)
+        step = np.logaddexp.reduce(transitions + (scores[:, t + 1] + backward[:, t + 1])[:, None, :], axis=2)
+        backward[:, t] = np.where(inside[:, t + 1, None], step, backward[:, t + 1])
     total = np.logaddexp.reduce(forward[:, -1], axis=1)
-    marginal = np.exp(forward[:, :, 1] + backward[:, :, 1] - total[:, None])
+    marginal = np.where(inside, np.exp(np.minimum(forward[:, :, 1] + backward[:, :, 1] - total[:, None], 0)), 0.0)
     pairs = np.zeros((2, 2))
     for t in range(1, length):
         joint = forward[:, t - 1, :, None] + transitions + (scores[:, t] + backward[:, t])[:, None, :]
-        pairs += np.exp(joint - total[:, None, None]).sum(axis=0)
-    start = np.exp(scores[:, 0] + transitions[0] + backward[:, 0] - total[:, None]).sum(axis=0)
-    pairs[0] += start
+        both = inside[:, t] & inside[:, t - 1]
+        pairs += np.exp(joint[both] - total[both, None, None]).sum(axis=0)
+    row, place = np.nonzero(first)
+    pairs[0] += np.exp(scores[row, place] + transitions[0] + backward[row, place] - total[row, None]).sum(axis=0)
     return marginal, pairs, float(total.sum())
 
 
@@ -108,20 +115,26 @@ def _train_chain(words: _Codes, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarr
     known = np.flatnonzero(place >= 0)
     if not len(known):
         return vocabulary, np.zeros(0), 0.0, 0.0, -8.0, np.zeros((2, 2))
-    # Windows around weighted words that stay within their text, and some spread over all texts.
+    # Windows around weighted words, clipped at the bounds of their text, and some spread over all texts.
     around = known[np.linspace(0, len(known) - 1, num=min(len(known), MOST_WINDOWS)).astype(int)]
     spread = np.linspace(0, len(words) - 1, num=MOST_WINDOWS // 4).astype(int)
     centres = np.concatenate([around, spread])
-    whole = (centres >= REACH) & (centres < len(words) - REACH)
-    centres = centres[whole]
-    centres = centres[words.text[centres - REACH] == words.text[centres + REACH]]
     at = centres[:, None] + np.arange(-REACH, REACH + 1)
-    place, previous, following = place[at], place[np.maximum(at - 1, 0)], place[np.minimum(at + 1, len(words) - 1)]
-    truth = (place >= 0) & np.append(sure, False)[place] & (toxic[words.text[at]] == 1)
-    near = (previous >= 0).astype(float), (following >= 0).astype(float)
+    opens, closes = (words.bounds[words.text[centres] + k][:, None] for k in (0, 1))
+    inside = (at >= opens) & (at < closes)
+
+    def places(shift: int) -> np.ndarray:
+        """The numbers of the words there, -1 outside of the text."""
+        there = at + shift
+        return np.where((there >= opens) & (there < closes), place[np.clip(there, 0, len(words) - 1)], -1)
+
+    previous, following, place = places(-1), places(1), places(0)
+    truth = (place >= 0) & np.append(sure, False)[place] & (toxic[words.text[centres]] == 1)[:, None]
+    near = ((previous >= 0) & inside).astype(float), ((following >= 0) & inside).astype(float)
     pairs = np.zeros((2, 2))
+    # Outside of the text the state is 0, as it is before the first token.
     states = np.concatenate([np.zeros((len(at), 1), int), truth.astype(int)], axis=1)
-    np.add.at(pairs, (states[:, :-1], states[:, 1:]), 1)
+    np.add.at(pairs, (states[:, :-1][inside], states[:, 1:][inside]), 1)
     seen = place >= 0
     observed = np.concatenate(
         [
@@ -134,7 +147,7 @@ def _train_chain(words: _Codes, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarr
     for _ in range(100):
         own = np.where(seen, np.append(parameters[:-3], 0.0)[place], 0.0)
         emission = own + parameters[-3] * near[0] + parameters[-2] * near[1] + parameters[-1]
-        marginal, joint, _ = _marginals_of_windows(emission, transitions)
+        marginal, joint, _ = _marginals_of_windows(emission, transitions, inside)
         expected = np.concatenate(
             [
                 np.bincount(place[seen], weights=marginal[seen], minlength=len(vocabulary)),

@@ -480,3 +480,18 @@ def test_quality_weights_converge_from_far_away():
     fitted = cotraining_quality.fit_logistic(x, y)
     far = cotraining_quality._newton(lambda w: cotraining_quality._sums(x, y, np.ones(400), w), np.array([9.0, -8.0, 7.0]))
     assert far == pytest.approx(fitted, abs=1e-4)
+
+
+def test_toxicity_learned_from_short_texts_only():
+    random = np.random.default_rng(11)
+    vocabulary, rows = [f"w{i}" for i in range(300)], []
+    for i in range(1000):
+        tokens = list(random.choice(vocabulary, size=int(random.integers(2, 10))))
+        if i % 5 == 0:
+            tokens.insert(int(random.integers(len(tokens) + 1)), str(random.choice(["nasty", "vile"])))
+        rows.append((" ".join(tokens), int(i % 5 == 0)))
+    texts = pa.array([t for t, _ in rows])
+    model = crf_toxicity.fit(texts, np.array([y for _, y in rows]))
+    scored = next(iter(crf_toxicity._score(model)([pa.RecordBatch.from_pydict({"text": texts})])))
+    found = [s >= crf_toxicity.THRESHOLD for s in scored["score"].to_pylist()]
+    assert found == [bool(y) for _, y in rows]
