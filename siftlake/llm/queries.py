@@ -16,6 +16,7 @@ from siftlake.llm import (
     setsketch_dedup,
     simhash_decontamination,
     skipchain_pii,
+    threshold_sketch,
     tree_sharding,
 )
 
@@ -68,6 +69,10 @@ def op10_crf_toxicity(spark, sf_dir):
     return crf_toxicity.scored_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_threshold_fingerprints(spark, sf_dir):
+    return threshold_sketch.edited_documents(_table(spark, sf_dir, "documents"))
+
+
 _QUERIES = (
     op1_skip_chain_pii,
     op2_secret_blob_ledger,
@@ -79,6 +84,7 @@ _QUERIES = (
     op8_simhash_decontamination,
     op9_ftrl_languages,
     op10_crf_toxicity,
+    op13_threshold_fingerprints,
 )
 
 
