@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from siftlake.llm import (
+    conversation_trie,
     cotraining_quality,
     crf_toxicity,
     fair_mixing,
@@ -69,6 +70,10 @@ def op10_crf_toxicity(spark, sf_dir):
     return crf_toxicity.scored_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_conversation_trie(spark, sf_dir):
+    return conversation_trie.conversation_nodes(_table(spark, sf_dir, "conversations"))
+
+
 def op13_threshold_fingerprints(spark, sf_dir):
     return threshold_sketch.edited_documents(_table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ _QUERIES = (
     op8_simhash_decontamination,
     op9_ftrl_languages,
     op10_crf_toxicity,
+    op12_conversation_trie,
     op13_threshold_fingerprints,
 )
 
