@@ -12,6 +12,7 @@ from siftlake.llm import (
     crf_toxicity,
     fair_mixing,
     ftrl_langid,
+    phrase_index,
     pruned_graph_search,
     secret_ledger,
     setsketch_dedup,
@@ -70,6 +71,10 @@ def op10_crf_toxicity(spark, sf_dir):
     return crf_toxicity.scored_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    return phrase_index.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_trie(spark, sf_dir):
     return conversation_trie.conversation_nodes(_table(spark, sf_dir, "conversations"))
 
@@ -89,6 +94,7 @@ _QUERIES = (
     op8_simhash_decontamination,
     op9_ftrl_languages,
     op10_crf_toxicity,
+    op11_phrase_collocations,
     op12_conversation_trie,
     op13_threshold_fingerprints,
 )
@@ -99,4 +105,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_fair_queue_mix": fair_mixing.ORACLE_SQL}
+    return {"op6_fair_queue_mix": fair_mixing.ORACLE_SQL, "op11_phrase_collocations": phrase_index.ORACLE_SQL}
