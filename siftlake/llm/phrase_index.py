@@ -23,11 +23,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftlake.llm.tokens import Words, mix, utf8
+from siftlake.llm.tokens import Words, mix, slices, utf8
 from siftlake.workspace import Scratch
 
-# Texts of one shard, in bytes; one longer text is a shard of its own.
-SHARD_BYTES = 8 << 20
+# Texts of one shard, in bytes, and up to one text more.
+SHARD_BYTES = 4 << 20
 LEAST_COUNT = 10
 # A phrase goes when a longer one around it has at least this share of its occurrences, in hundredths.
 COVERED = 50
@@ -66,7 +66,8 @@ def piece_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
         pa.large_string(), len(start), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(letters.tobytes())]
     )
     first = np.zeros(len(start), bool)
-    first[np.searchsorted(start, offsets[:-1])[np.searchsorted(start, offsets[:-1]) < len(start)]] = True
+    of_texts = np.searchsorted(start, offsets[:-1])
+    first[of_texts[of_texts < len(start)]] = True
     ended = np.cumsum(kind == _END, dtype=np.int32)
     if len(start):
         first[0] = True
@@ -78,7 +79,9 @@ def _order_by(symbols: np.ndarray) -> np.ndarray:
     """A stable order of numbers below 2**32, 16 bits at a time."""
     order = np.argsort((symbols & 0xFFFF).astype(np.uint16), kind="stable")
     high = (symbols >> 16).astype(np.uint16)
-    return order[np.argsort(high[order], kind="stable")] if high.any() else order
+    if high.any():
+        order = order[np.argsort(high[order], kind="stable")]
+    return order.astype(np.int32)
 
 
 @dataclass
@@ -109,8 +112,8 @@ class Transform:
             before = order - 1
             before[before < 0] = n - 1
             order = before[_order_by(sequence[before])]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.arange(n)
+        rank = np.empty(n, np.int32)
+        rank[order] = np.arange(n, dtype=np.int32)
         after = order + 1
         after[after == n] = 0
         self.first = sequence[order]  # the symbol a row begins with: in order, the symbols of the transform
@@ -118,10 +121,12 @@ class Transform:
 
     def extended(self, found: Intervals) -> Intervals:
         """Every phrase by every symbol before it. Rows of one symbol whose next rows lie in one interval are an interval."""
-        of = np.full(len(self.first), -1)
-        covered = np.repeat(found.low - np.concatenate([[0], np.cumsum(found.n)[:-1]]), found.n) + np.arange(found.n.sum())
-        of[covered] = np.repeat(np.arange(len(found.n)), found.n)
+        of = np.full(len(self.first), -1, np.int32)
+        covered = np.repeat((found.low - np.cumsum(found.n) + found.n).astype(np.int32), found.n)
+        covered += np.arange(len(covered), dtype=np.int32)
+        of[covered] = np.repeat(np.arange(len(found.n), dtype=np.int32), found.n)
         parent = of[self.next]
+        del of, covered
         fresh = np.ones(len(parent), bool)
         fresh[1:] = (parent[1:] != parent[:-1]) | (self.first[1:] != self.first[:-1])
         low = np.flatnonzero(fresh)
@@ -143,7 +148,7 @@ class Index:
 
     def __init__(self, words: np.ndarray, first: np.ndarray, vocabulary: int):
         place = np.arange(len(words)) + np.cumsum(first)
-        sequence = np.zeros(len(words) + int(first.sum()) + 1, np.int64)
+        sequence = np.zeros(len(words) + int(first.sum()) + 1, np.int32)
         sequence[place] = words + 1
         self.sequence, self.vocabulary = sequence, vocabulary
         self._turned: Transform | None = None
@@ -171,23 +176,17 @@ class Index:
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
     """Runs of texts of one language."""
     held, size = defaultdict(list), defaultdict(int)
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         langs = batch["lang"].dictionary_encode()
         for code, lang in enumerate(langs.dictionary.to_pylist()):
-            texts = batch["text"].filter(pc.equal(langs.indices, code))
-            _, bounds = utf8(texts)
-            at = 0
-            while at < len(texts):
-                room = bounds[at] + SHARD_BYTES - size[lang]
-                to = max(at + 1, int(np.searchsorted(bounds, room, side="right")) - 1)
-                part = texts.slice(at, to - at).cast(pa.large_string())
-                held[lang].append(pa.concat_arrays([part]))
-                size[lang] += int(bounds[to] - bounds[at])
-                at = to
-                if size[lang] >= SHARD_BYTES or at < len(texts):
-                    yield lang, pa.concat_arrays(held.pop(lang))
-                    size.pop(lang)
-    for lang, texts in held.items():
+            texts = batch["text"].filter(pc.equal(langs.indices, code)).cast(pa.large_string())
+            held[lang].append(texts)
+            size[lang] += texts.nbytes
+            if size[lang] >= SHARD_BYTES:
+                yield lang, pa.concat_arrays(held.pop(lang))
+                size.pop(lang)
+    while held:
+        lang, texts = held.popitem()
         yield lang, pa.concat_arrays(texts)
 
 
@@ -212,7 +211,7 @@ def _indexed(texts: pa.Array) -> tuple[Index, pa.Array] | None:
     if not len(words):
         return None
     coded = words.dictionary_encode()
-    return Index(coded.indices.to_numpy().astype(np.int64), first, len(coded.dictionary)), coded.dictionary
+    return Index(coded.indices.to_numpy(), first, len(coded.dictionary)), coded.dictionary
 
 
 def _singles_and_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,10 +282,10 @@ def _triples(frequent) -> Callable:
             pairs, first, second = pairs.only(held), first[held], second[held]
             if not len(first):
                 continue
-            known = np.sort(first * index.vocabulary + second)
+            known = np.sort(first.astype(np.int64) * index.vocabulary + second)
             longer = index.to_the_left(pairs)
             one, two, three = longer.symbol - 1, first[longer.parent], second[longer.parent]
-            key = one * index.vocabulary + two
+            key = one.astype(np.int64) * index.vocabulary + two
             both = known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
             yield from _counted(lang, 3, _joined(names, one[both], two[both], three[both]), longer.n[both])
 
