@@ -27,7 +27,7 @@ from siftlake.llm.tokens import Words, mix, slices, utf8
 from siftlake.workspace import Scratch
 
 # Texts of one shard, in bytes, and up to one text more.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 LEAST_COUNT = 10
 # A phrase goes when a longer one around it has at least this share of its occurrences, in hundredths.
 COVERED = 50
@@ -185,6 +185,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]
             if size[lang] >= SHARD_BYTES:
                 yield lang, pa.concat_arrays(held.pop(lang))
                 size.pop(lang)
+                pa.default_memory_pool().release_unused()
     while held:
         lang, texts = held.popitem()
         yield lang, pa.concat_arrays(texts)
