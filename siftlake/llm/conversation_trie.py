@@ -460,3 +460,37 @@ def conversation_nodes(conversations: DataFrame, range_turns: int = RANGE_TURNS,
     paths = scratch.settle(binned.drop("ends").groupBy("bin").applyInArrow(_outer_paths, _PATHS), "outer")
     merged = scratch.settle(_merged_paths(paths, scratch, few_paths), "merged")
     return binned.groupBy("bin").cogroup(merged.groupBy("bin")).applyInArrow(_nodes, _NODES)
+
+
+# The remainder of a CRC-32 bit by bit: a byte is put in, then eight steps (-1) shift it out.
+_CRC_POLYNOMIAL = 0xEDB88320
+ORACLE_SQL = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           WHERE conv_id IS NOT NULL),
+d AS (SELECT conv_id, turn, octet_length(encode(text)) AS size,
+             sha256(length(role) || ':' || role || text) AS id FROM t),
+o AS (SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(size ORDER BY turn NULLS FIRST, id) AS sizes
+      FROM d GROUP BY conv_id),
+h AS (SELECT *, conv_id - conv_id % {GROUP} AS base, xor(list_reduce(
+        list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+          lambda x : [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda a, x : CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, {_CRC_POLYNOMIAL}) ELSE a >> 1 END),
+        4294967295) % {MOST_SHARED + 1} AS n FROM o),
+c AS (SELECT h.conv_id, list_concat(coalesce(b.ids, [])[1:h.n], h.ids[h.n + 1:]) AS ids,
+             list_concat(coalesce(b.sizes, [])[1:h.n], h.sizes[h.n + 1:]) AS sizes
+      FROM h LEFT JOIN o b ON b.conv_id = h.base),
+p AS (SELECT conv_id, unnest(range(0, len(ids) + 1)) AS depth, ids, sizes FROM c),
+m AS (SELECT conv_id, depth, array_to_string(ids[1:depth], '') AS node, len(ids) = depth AS ends,
+             CASE WHEN depth > 0 THEN sizes[depth] ELSE 0 END AS size,
+             CASE WHEN depth > 0 THEN array_to_string(ids[1:depth - 1], '') END AS above FROM p),
+v AS (SELECT node, any_value(above) AS above, any_value(depth) AS depth, any_value(size) AS size, min(conv_id) AS conv_id,
+             count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), ''))
+             AS ends_sha256 FROM m GROUP BY node),
+k AS (SELECT above AS node, count(*) AS n_children FROM v WHERE above IS NOT NULL GROUP BY above),
+w AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN k USING (node)),
+s AS (SELECT a.node, sum(CAST(w.n_children = 0 AS BIGINT))::BIGINT AS n_leaves,
+             sum((w.n_convs - 1) * w.size)::BIGINT AS saved_tokens
+      FROM w JOIN m a ON a.conv_id = w.conv_id AND a.depth <= w.depth GROUP BY a.node)
+SELECT w.conv_id, w.depth::BIGINT AS depth, x.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens,
+       w.ends_sha256 FROM w JOIN s USING (node) LEFT JOIN w x ON x.node = w.above
+"""

@@ -105,4 +105,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_fair_queue_mix": fair_mixing.ORACLE_SQL, "op11_phrase_collocations": phrase_index.ORACLE_SQL}
+    return {
+        "op6_fair_queue_mix": fair_mixing.ORACLE_SQL,
+        "op11_phrase_collocations": phrase_index.ORACLE_SQL,
+        "op12_conversation_trie": conversation_trie.ORACLE_SQL,
+    }
