@@ -44,7 +44,8 @@ from siftlake.sinks.messages import publish_files
 from siftlake.sources.generated import events_for
 from siftlake.sources.messages import MessageFiles
 from siftlake.sources.tables import read_path, read_table
-from siftlake.streaming.ingest import ingest_events, load_bronze
+from siftlake.streaming.bronze import load_bronze
+from siftlake.streaming.ingest import ingest_events
 from siftlake.workspace import new_path, use_local_root
 
 TABLES = (
@@ -433,6 +434,19 @@ def incremental_files(spark, sf_dir):
     return read_path(spark, bronze).select("id", "value", "type", "timestamp", "ingestion_date")
 
 
+def bronze_reload(spark, sf_dir):
+    """A whole export twice, the second time without the days before the fifth, then one day once more."""
+    export, bronze, checkpoint = (new_path(spark, p) for p in ("export", "bronze", "stream"))
+    events = _events(spark, sf_dir)
+    write_by_date(events, export)
+    load_bronze(spark, export, bronze, checkpoint)
+    write_by_date(events.where("ingestion_date >= date '2024-01-05'"), export)
+    load_bronze(spark, export, bronze, checkpoint)
+    write_by_date(events.where("ingestion_date = date '2024-01-06'").withColumn("note", F.col("id") % 7), export, replace_all=False)
+    load_bronze(spark, export, bronze, checkpoint)
+    return read_path(spark, bronze, merge_schema=True).select("id", "value", "type", "ingestion_date", "note")
+
+
 def silver_clean(spark, sf_dir):
     return layers.silver_events(_by_user(spark, sf_dir)).drop("processed_at")
 
@@ -540,6 +554,7 @@ _QUERIES = (
     stream_ingest,
     stream_check,
     incremental_files,
+    bronze_reload,
     silver_clean,
     gold_metrics,
     gold_by_type_date,
@@ -924,6 +939,8 @@ def _own_sql() -> dict[str, str]:
                      ELSE 'no nulls' END AS detail,
                 CAST(CASE WHEN lost > 0 THEN 40 ELSE 0 END AS INTEGER) AS deduction, total_rows FROM n""",
         "incremental_files": f"WITH {_SQL_EVENTS} {export}",
+        "bronze_reload": f"WITH {_SQL_EVENTS} SELECT id, value, type, ingestion_date, "
+        "CASE WHEN ingestion_date = DATE '2024-01-06' THEN id % 7 END AS note FROM e WHERE ingestion_date >= DATE '2024-01-05'",
         "silver_clean": f"WITH {_SQL_BY_USER}, {_SQL_SILVER} SELECT * FROM s",
         "gold_metrics": f"WITH {_SQL_EVENTS} SELECT type AS event_type, {_METRICS} FROM e GROUP BY type",
         "gold_by_type_date": f"WITH {_SQL_EVENTS} SELECT type AS event_type, ingestion_date AS event_date, {_METRICS} "

@@ -1,4 +1,4 @@
-"""Messages to a raw table, and exports to bronze: append-only, map-only streams with a checkpoint."""
+"""Messages to a raw table: append-only, map-only streams with a checkpoint."""
 
 from __future__ import annotations
 
@@ -12,9 +12,9 @@ from siftlake.functions.codec import parse_messages
 from siftlake.functions.columns import stamp_ingest
 from siftlake.operators.profile import dataset_stats
 from siftlake.operators.quality import QualitySuite, run_checks, settled
-from siftlake.schemas import CRITICAL_COLUMNS, EVENT_SCHEMA, PARTITION_COLUMN
-from siftlake.sources.files import incremental_parquet
+from siftlake.schemas import CRITICAL_COLUMNS, EVENT_SCHEMA
 from siftlake.sources.messages import MessageSource
+from siftlake.sources.schema_log import SchemaLog
 from siftlake.sources.tables import read_path
 
 
@@ -34,12 +34,15 @@ def append_stream(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Append a stream to a dataset. Restarting with the same checkpoint goes on where the last run stopped, without
-    loss or repetition. ``available_now`` takes what is there and ends; otherwise the query runs until stopped."""
+    loss or repetition. ``available_now`` takes what is there and ends; otherwise the query runs until stopped.
+    New columns of the stream become a version of the schema log beside a Parquet dataset."""
+    if fmt == "parquet":
+        SchemaLog.beside(stream.sparkSession, path).add(stream.schema)
     writer = (
         stream.writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .option("mergeSchema", "true")  # for formats with a log; Parquet files are united when they are read
+        .option("mergeSchema", "true")  # for formats with a log of their own
     )
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -89,17 +92,3 @@ def ingest_events(
     stream = event_stream(spark, source, schema, charset)
     finish(append_stream(stream, path, checkpoint, fmt, available_now=seconds is None), seconds)
     return check_ingested(spark, path, fmt)
-
-
-def load_bronze(
-    spark: SparkSession,
-    export_path: str,
-    bronze_path: str,
-    checkpoint: str,
-    schema: T.StructType | None = None,
-    max_files_per_trigger: int | None = None,
-) -> None:
-    """Copy the export files that are new since the last call, unchanged, into the bronze dataset."""
-    new_files = incremental_parquet(spark, export_path, schema, max_files_per_trigger=max_files_per_trigger)
-    partition = PARTITION_COLUMN if PARTITION_COLUMN in new_files.columns else None
-    finish(append_stream(new_files, bronze_path, checkpoint, partition_by=partition))

@@ -52,6 +52,45 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} can't be renamed to {target}")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    file_system, target = _file_system(spark, path)
+    return file_system.exists(target)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a folder; none when there is no such folder."""
+    file_system, target = _file_system(spark, path)
+    return [s.getPath().getName() for s in file_system.listStatus(target)] if file_system.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as a whole."""
+    file_system, target = _file_system(spark, path)
+    stream = file_system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that nobody has written yet; False when it is there already. It appears with all of its text: it is
+    written under another name and renamed, and a rename does not replace a file."""
+    file_system, target = _file_system(spark, path)
+    if file_system.exists(target):
+        return False
+    draft = _file_system(spark, f"{target.getParent()}/.{target.getName()}-{uuid.uuid4().hex}")[1]
+    stream = file_system.create(draft, False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if not file_system.exists(target) and file_system.rename(draft, target):
+        return True
+    file_system.delete(draft, False)
+    return False
+
+
 def partition_folders(spark: SparkSession, path: str) -> list[str]:
     """The columns of a dataset that are names of folders (``column=value``), outermost first."""
     file_system, at = _file_system(spark, path)

@@ -8,14 +8,17 @@ from siftlake.sinks.exports import write_by_date
 from siftlake.sinks.messages import publish_files, publish_topic
 from siftlake.sources.generated import generate_events
 from siftlake.sources.messages import KafkaTopic, MessageFiles
+from siftlake.sources.files import incremental_parquet
+from siftlake.sources.schema_log import SchemaConflict, SchemaLog
 from siftlake.sources.tables import read_path
+from siftlake.streaming import bronze
+from siftlake.streaming.bronze import ledger_path, load_bronze
 from siftlake.streaming.ingest import (
     append_stream,
     check_ingested,
     event_stream,
     finish,
     ingest_events,
-    load_bronze,
 )
 
 
@@ -113,6 +116,93 @@ def test_bronze_loads_only_new_files(spark, places, tmp_path):
     assert (tmp_path / "bronze" / "ingestion_date=2024-01-02").is_dir()
 
 
+def day(spark, date, first=0, n=10):
+    events = generate_events(spark, n).withColumn("id", F.col("id") + first)
+    return events.withColumn("ingestion_date", F.lit(date).cast("date"))
+
+
+def ids(spark, path):
+    return sorted(r.id for r in read_path(spark, path, merge_schema=True).select("id").collect())
+
+
+def test_a_whole_export_may_be_loaded_again(spark, places, tmp_path):
+    export = str(tmp_path / "export")
+    load = lambda: load_bronze(spark, export, places["bronze"], places["checkpoint"])
+    both = day(spark, "2024-01-01").unionByName(day(spark, "2024-01-02", 10))
+    write_by_date(both, export)
+    load()
+    write_by_date(both, export)
+    load()
+    assert ids(spark, places["bronze"]) == list(range(20))
+    # A date that is written again with other rows, one that goes, one that is added to, and rows without a date.
+    write_by_date(day(spark, "2024-01-02", 30, 5).unionByName(day(spark, None, 50, 2)), export)
+    load()
+    day(spark, "2024-01-02", 40, 3).write.mode("append").partitionBy("ingestion_date").parquet(export)
+    load()
+    assert ids(spark, places["bronze"]) == [30, 31, 32, 33, 34, 40, 41, 42, 50, 51]
+    ledger = spark.read.parquet(ledger_path(places["checkpoint"]))
+    assert sorted((r.generation, r.rows) for r in ledger.collect()) == [(0, 10), (0, 10), (1, 10), (1, 10), (2, 2), (2, 5), (3, 3)]
+
+
+def test_a_load_lost_half_way_is_repeated(spark, places, tmp_path, monkeypatch):
+    export = str(tmp_path / "export")
+    write_by_date(day(spark, "2024-01-01").unionByName(day(spark, "2024-01-02", 10)), export)
+
+    def lost(rows, path, **options):
+        write_by_date(rows, path, **options)
+        raise RuntimeError("lost after the rows were written")
+
+    monkeypatch.setattr(bronze, "write_by_date", lost)
+    with pytest.raises(Exception, match="lost after"):
+        load_bronze(spark, export, places["bronze"], places["checkpoint"])
+    monkeypatch.undo()
+    # Whoever exports meanwhile replaces the files that the lost batch was about.
+    write_by_date(day(spark, "2024-01-01").unionByName(day(spark, "2024-01-02", 10)), export)
+    load_bronze(spark, export, places["bronze"], places["checkpoint"])
+    assert ids(spark, places["bronze"]) == list(range(20))
+
+
+def test_new_columns_add_a_version_and_a_start_opens_no_file(spark, places, tmp_path):
+    export = str(tmp_path / "export")
+    write_by_date(day(spark, "2024-01-01"), export)
+    load_bronze(spark, export, places["bronze"], places["checkpoint"])
+    log = SchemaLog.beside(spark, export)
+    assert log.versions() == [1]
+    noted = day(spark, "2024-01-02", 10).withColumn("note", F.lit("n"))
+    noted.write.mode("append").partitionBy("ingestion_date").parquet(export)
+    load_bronze(spark, export, places["bronze"], places["checkpoint"])
+    assert log.versions() == [1, 2] and "note" in log.latest().names
+    found = read_path(spark, places["bronze"], merge_schema=True)
+    assert found.where("note = 'n'").count() == 10 and found.count() == 20
+    # Files that can't be opened: what needs their footers fails, what goes by the log does not.
+    for file in (tmp_path / "export").rglob("*.parquet"):
+        file.chmod(0o644)
+        file.write_bytes(b"no parquet")
+    started = incremental_parquet(spark, export)
+    assert started.isStreaming and set(started.columns) == set(log.latest().names)
+    assert set(read_path(spark, export, merge_schema=True).columns) == set(log.latest().names)
+    with pytest.raises(Exception):
+        spark.read.option("mergeSchema", "true").parquet(export)
+
+
+def test_schema_log(spark, tmp_path):
+    log = SchemaLog(spark, str(tmp_path / "log"))
+    assert log.latest() is None and log.versions() == []
+    one = T.StructType([T.StructField("a", T.LongType(), False)])
+    assert log.add(one) == T.StructType([T.StructField("a", T.LongType())]) == log.add(one) == log.latest()
+    two = T.StructType([T.StructField("A", T.LongType()), T.StructField("b", T.ArrayType(T.StringType()))])
+    assert log.add(two).names == ["a", "b"] and log.versions() == [1, 2]
+    with pytest.raises(SchemaConflict, match="a is bigint in the log and string"):
+        log.add(T.StructType([T.StructField("a", T.StringType())]))
+    assert log.add(T.StructType([T.StructField("a", T.StringType())]), anew=True).names == ["a"]
+    assert log.versions() == [1, 2, 3] and log.version(2).names == ["a", "b"]
+    # A writer that comes second goes on from what the first wrote.
+    other = SchemaLog(spark, log.path)
+    seen = iter([[1, 2], [1, 2, 3]])
+    other.versions = lambda: next(seen)
+    assert other.add(T.StructType([T.StructField("z", T.DateType())])).names == ["a", "z"] and log.versions()[-1] == 4
+
+
 def test_topic_options():
     topic = KafkaTopic("h:9092", "events", max_per_trigger=100, extra={"kafka.security.protocol": "SSL"})
     common = {
