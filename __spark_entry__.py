@@ -293,7 +293,9 @@ def lake_checks(spark, sf_dir):
 
 
 def validation_report(spark, sf_dir):
-    return lake_validation.validation_report(_events(spark, sf_dir))
+    flawed = lake_validation.validation_report(_flawed(spark, sf_dir)).withColumn("dataset", F.lit("flawed"))
+    intact = lake_validation.validation_report(_events(spark, sf_dir)).withColumn("dataset", F.lit("intact"))
+    return flawed.unionByName(intact)
 
 
 def generate_events(spark, sf_dir):
@@ -455,6 +457,32 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumn("avg_value", F.round("avg_value", 6))
 
 
+def _incremented(spark, sf_dir) -> str:
+    """The layers after three exports of what users did, each with some rows more; the last has late and repeated ones."""
+    path = new_path(spark, "increments")
+    export, prefix, rows = f"{path}/export", f"incr_{path[-32:]}_", _by_user(spark, sf_dir)
+    for some in ("kafka_offset % 3 = 1", "kafka_offset % 3 = 2", "kafka_offset % 3 = 0 OR kafka_offset % 7 = 0"):
+        write_by_date(rows.where(some), export)
+        fill_layers(spark, export, f"{path}/layers", prefix)
+    return prefix
+
+
+def silver_increments(spark, sf_dir):
+    return spark.table(f"{_incremented(spark, sf_dir)}silver.events_cleaned").select(*_by_user(spark, sf_dir).columns)
+
+
+def gold_increments(spark, sf_dir):
+    prefix = _incremented(spark, sf_dir)
+    tables = []
+    for name in ("events_metrics", "events_by_type"):
+        table = _rounded(spark.table(f"{prefix}gold.{name}"))
+        tables.append(table.withColumn("event_date", F.lit(None).cast("date")).withColumn("name", F.lit(name)))
+    for name in ("events_metrics_by_date", "events_by_type_and_date"):
+        tables.append(_rounded(spark.table(f"{prefix}gold.{name}")).withColumn("name", F.lit(name)))
+    columns = ["name", "event_type", "event_date", "total_events", "avg_value", "min_value", "max_value"]
+    return reduce(DataFrame.unionByName, [table.select(columns) for table in tables])
+
+
 def gold_metrics(spark, sf_dir):
     return _rounded(layers.gold_metrics(_events(spark, sf_dir))).drop("calculated_at")
 
@@ -556,6 +584,8 @@ _QUERIES = (
     incremental_files,
     bronze_reload,
     silver_clean,
+    silver_increments,
+    gold_increments,
     gold_metrics,
     gold_by_type_date,
     gold_view,
@@ -889,15 +919,31 @@ def _own_sql() -> dict[str, str]:
             d AS (SELECT (SELECT count(*) FROM e) - (SELECT count(DISTINCT id) FROM e) AS n)
             SELECT * FROM ({run}) WHERE "check" = 'nulls' UNION ALL """
         + _sql_single("duplicates", "n", "WARN", 10, "concat(n, ' duplicates')", "'0 duplicates'", "FROM d"),
-        "validation_report": f"""WITH {_SQL_EVENTS},
-            a AS (SELECT column_name FROM (DESCRIBE SELECT * FROM e) WHERE column_name <> 'ingestion_date'),
+        "validation_report": f"""WITH {_SQL_FLAWED}, {ctes},
+            d AS (SELECT (SELECT count(*) FROM e) - (SELECT count(DISTINCT id) FROM e) AS n),
+            q AS (SELECT * FROM ({run}) WHERE "check" = 'nulls' UNION ALL """
+        + _sql_single("duplicates", "n", "WARN", 10, "concat(n, ' duplicates')", "'0 duplicates'", "FROM d")
+        + """),
+            a AS (SELECT column_name AS name FROM (DESCRIBE SELECT * FROM e)),
             w(name) AS (VALUES ('id'), ('value'), ('type'), ('timestamp'), ('ingested_at')),
-            v AS (SELECT (SELECT count(*) FROM a WHERE column_name NOT IN (SELECT name FROM w)) AS added,
-                         (SELECT count(*) FROM w WHERE name NOT IN (SELECT column_name FROM a)) AS lost)
-            SELECT 'quality_checks' AS "check", 'PASSED' AS result, 'PASS' AS status
-            UNION ALL SELECT 'schema_evolution',
-                CASE WHEN added > 0 THEN 'EVOLVED' WHEN lost > 0 THEN 'INCOMPLETE' ELSE 'PASSED' END,
-                CASE WHEN added + lost > 0 THEN 'WARN' ELSE 'PASS' END FROM v""",
+            added AS (SELECT name FROM a WHERE name <> 'ingestion_date' AND name NOT IN (SELECT name FROM w)),
+            lost AS (SELECT name FROM w WHERE name NOT IN (SELECT name FROM a)),
+            v AS (SELECT (SELECT count(*) FROM added) AS n_added, (SELECT count(*) FROM lost) AS n_lost),
+            f AS (SELECT bool_or(status IN ('FAIL', 'ERROR')) AS failed, CAST(sum(violations) AS BIGINT) AS violations,
+                         coalesce(string_agg(concat("check", ': ', status, ': ', detail), '; ' ORDER BY "check" DESC)
+                                  FILTER (WHERE violations > 0), '') AS detail FROM q),
+            n AS (SELECT count(*) AS total_rows, CAST((SELECT count(*) FROM a) AS INTEGER) AS schema_columns,
+                         least(10, count(DISTINCT ingestion_date)) AS dates FROM e),
+            t AS (SELECT 'flawed' AS dataset, 'quality_checks' AS "check", CASE WHEN failed THEN 'FAILED' ELSE 'PASSED' END AS result,
+                         CASE WHEN failed THEN 'FAIL' ELSE 'PASS' END AS status, violations, detail FROM f
+                  UNION ALL SELECT 'intact', 'quality_checks', 'PASSED', 'PASS', 0, ''
+                  UNION ALL SELECT dataset, 'schema_evolution',
+                      CASE WHEN n_added > 0 THEN 'EVOLVED' WHEN n_lost > 0 THEN 'INCOMPLETE' ELSE 'PASSED' END,
+                      CASE WHEN n_added + n_lost > 0 THEN 'WARN' ELSE 'PASS' END, n_added + n_lost,
+                      concat_ws('; ', (SELECT 'missing: ' || string_agg(name, ', ' ORDER BY name) FROM lost),
+                                (SELECT 'new: ' || string_agg(name, ', ' ORDER BY name) FROM added))
+                  FROM v, (VALUES ('flawed'), ('intact')) x(dataset))
+            SELECT t.*, n.* FROM t, n""",
         "generate_events": "SELECT event_id AS id, event_id * 10 AS value, 'test_event' AS type, "
         'epoch_us(ts) // 1000 AS "timestamp" FROM events',
         "decode_bytes": f"""WITH t AS (SELECT doc_id, text, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes,
@@ -942,6 +988,12 @@ def _own_sql() -> dict[str, str]:
         "bronze_reload": f"WITH {_SQL_EVENTS} SELECT id, value, type, ingestion_date, "
         "CASE WHEN ingestion_date = DATE '2024-01-06' THEN id % 7 END AS note FROM e WHERE ingestion_date >= DATE '2024-01-05'",
         "silver_clean": f"WITH {_SQL_BY_USER}, {_SQL_SILVER} SELECT * FROM s",
+        "silver_increments": f"WITH {_SQL_BY_USER}, {_SQL_SILVER} SELECT * FROM s",
+        "gold_increments": f"""WITH {_SQL_BY_USER}, {_SQL_SILVER},
+            t AS (SELECT type AS event_type, CAST(NULL AS DATE) AS event_date, {_METRICS} FROM s GROUP BY type),
+            d AS (SELECT type AS event_type, CAST(ingested_at AS DATE) AS event_date, {_METRICS} FROM s GROUP BY ALL)
+            SELECT 'events_metrics' AS name, * FROM t UNION ALL SELECT 'events_by_type', * FROM t
+            UNION ALL SELECT 'events_metrics_by_date', * FROM d UNION ALL SELECT 'events_by_type_and_date', * FROM d""",
         "gold_metrics": f"WITH {_SQL_EVENTS} SELECT type AS event_type, {_METRICS} FROM e GROUP BY type",
         "gold_by_type_date": f"WITH {_SQL_EVENTS} SELECT type AS event_type, ingestion_date AS event_date, {_METRICS} "
         "FROM e GROUP BY ALL",
@@ -957,7 +1009,11 @@ def _own_sql() -> dict[str, str]:
             SELECT 'events_raw' AS table_name, 'bronze' AS schema_name, 'EXTERNAL' AS table_type,
                    (SELECT count(*) FROM u) AS total_rows
             UNION ALL SELECT 'events_cleaned', 'silver', 'MANAGED', (SELECT count(*) FROM s)
-            UNION ALL SELECT 'events_metrics', 'gold', 'MANAGED', (SELECT count(DISTINCT type) FROM s)""",
+            UNION ALL SELECT t.name, 'gold', t.kind, CASE WHEN t.daily THEN
+                (SELECT count(*) FROM (SELECT DISTINCT type, CAST(ingested_at AS DATE) FROM s))
+                ELSE (SELECT count(DISTINCT type) FROM s) END
+            FROM (VALUES ('events_metrics', 'MANAGED', false), ('events_by_type', 'VIEW', false),
+                ('events_metrics_by_date', 'MANAGED', true), ('events_by_type_and_date', 'VIEW', true)) t(name, kind, daily)""",
         "flow_gold": """SELECT 'test_event' AS event_type, count(*) AS total_events,
             round(avg(10 * event_id), 6) AS avg_value, min(10 * event_id) AS min_value, max(10 * event_id) AS max_value
             FROM events""",

@@ -11,7 +11,7 @@ from siftlake.operators.mutations import delete_from_path, delete_from_table, de
 from siftlake.operators.profile import sample_rows, schema_rows, value_frequency
 from siftlake.plans.export import gated_export
 from siftlake.plans.flow import fill_layers, run_flow
-from siftlake.plans.lake_validation import lake_checks, report_rows, schema_evolution
+from siftlake.plans.lake_validation import lake_checks, report_of, schema_evolution
 from siftlake.session import BASE_CONF, LARGE_CONF, make_session
 from siftlake.sinks.messages import publish_files, publish_topic
 from siftlake.sources.generated import DEMO_EVENTS, generate_events
@@ -61,8 +61,7 @@ def validate(spark: SparkSession, args: argparse.Namespace) -> bool:
             part.show(truncate=False)
     evolution = schema_evolution(df)
     evolution.show(truncate=False)
-    verdicts = {"quality_checks": "PASSED", "schema_evolution": evolution.first()["result"]}
-    report_rows(spark, verdicts).show(truncate=False)
+    report_of(checks, evolution).show(truncate=False)
     return True
 
 

@@ -16,10 +16,14 @@ LAYERS = ("bronze", "silver", "gold")
 BRONZE_TABLE = "events_raw"
 SILVER_TABLE = "events_cleaned"
 GOLD_TABLE = "events_metrics"
+GOLD_DAILY_TABLE = "events_metrics_by_date"
 GOLD_COLUMNS = (
     "event_type STRING, total_events BIGINT, avg_value DOUBLE, min_value INT, max_value INT, calculated_at TIMESTAMP"
 )
 
+# The partition of a silver row: its id dealt out by hash.
+ID_PART = "id_part"
+
 SILVER_SCHEMA = T.StructType(RAW_SCHEMA.fields + [T.StructField("processed_at", T.TimestampType())])
 
 
@@ -60,22 +64,32 @@ def add_columns(spark: SparkSession, table: str, columns: T.StructType) -> None:
 
 
 def create_silver_table(
-    spark: SparkSession, schema_name: str, columns: T.StructType = SILVER_SCHEMA, fmt: str = "parquet"
+    spark: SparkSession,
+    schema_name: str,
+    columns: T.StructType = SILVER_SCHEMA,
+    fmt: str = "parquet",
+    buckets: int | None = None,
 ) -> str:
-    name = f"{schema_name}.{SILVER_TABLE}"
+    """With ``buckets`` the table is laid out for increments: partitions by ``ID_PART``, each in so many buckets by ``id``, and
+    an overwrite replaces only the partitions it writes."""
+    name, layout = f"{schema_name}.{SILVER_TABLE}", ""
+    if buckets:
+        layout = (
+            f" OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({ID_PART}) CLUSTERED BY (id) INTO {buckets} BUCKETS"
+        )
+        columns = T.StructType([*columns.fields, T.StructField(ID_PART, T.IntegerType())])
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(columns)}) USING {fmt} "
-        "COMMENT 'Complete events, once per id'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(columns)}) USING {fmt}{layout} COMMENT 'Complete events, once per id'"
     )
     add_columns(spark, name, columns)
     return name
 
 
 def create_gold_table(
-    spark: SparkSession, schema_name: str, columns: str = GOLD_COLUMNS, fmt: str = "parquet"
+    spark: SparkSession, schema_name: str, columns: str = GOLD_COLUMNS, fmt: str = "parquet", table: str = GOLD_TABLE
 ) -> str:
-    name = f"{schema_name}.{GOLD_TABLE}"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} COMMENT 'Event metrics per type'")
+    name = f"{schema_name}.{table}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} COMMENT 'Event metrics'")
     return name
 
 

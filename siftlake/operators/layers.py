@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftlake.schemas import CRITICAL_COLUMNS, PARTITION_COLUMN, ref
+from siftlake.schemas import CRITICAL_COLUMNS, PARTITION_COLUMN, quoted, ref
 
 
 # What makes a row of the same id the later one, most important first.
@@ -23,6 +23,25 @@ def _has_order(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
+def _by_recency(df: DataFrame, without: Sequence[str] = ("id",)) -> tuple[list[str], list[str]]:
+    """The columns that say which of two rows is the later one, in order, and those that have no order."""
+    columns = [c for c in _RECENCY if c in df.columns]
+    columns += [c for c in df.columns if c not in columns and c not in without]
+    unordered = [c for c in columns if not _has_order(df.schema[c].dataType)]
+    return [c for c in columns if c not in unordered], unordered
+
+
+def _tie(columns: Sequence[Column]) -> Column:
+    return F.xxhash64(F.to_json(F.struct(*columns))).alias("tie")
+
+
+def recency(df: DataFrame, side: str, without: Sequence[str]) -> Column:
+    """What is greater for the later of two rows, as in ``latest_by_id``; of a joined table's ``side``."""
+    order, unordered = _by_recency(df, without)
+    named = lambda c: F.col(f"{side}.{quoted(c)}")
+    return F.struct(*[named(c) for c in order], *([_tie([named(c) for c in unordered])] if unordered else []))
+
+
 def latest_by_id(df: DataFrame) -> DataFrame:
     """One row per id: the latest by event time, then message offset, then message partition, then all other columns
     that have an order, then a hash of the others as JSON.
@@ -31,14 +50,11 @@ def latest_by_id(df: DataFrame) -> DataFrame:
     third of the table sends a row per task, not a third of the table, to one reducer. A rank over a window gives the
     same rows but sorts them on every column of the order, which took two thirds longer.
     """
-    recency = [c for c in _RECENCY if c in df.columns]
-    others = [c for c in df.columns if c not in recency and c != "id"]
-    unordered = [c for c in others if not _has_order(df.schema[c].dataType)]
-    ordered = [ref(c) for c in recency + others if c not in unordered]
+    order, unordered = _by_recency(df)
+    ordered = [ref(c) for c in order]
     if unordered:
         rest = [ref(c) for c in unordered]
-        tie = F.xxhash64(F.to_json(F.struct(*rest))).alias("tie")
-        newest = F.max_by(F.struct(*ordered, *rest), F.struct(*ordered, tie)).alias("newest")
+        newest = F.max_by(F.struct(*ordered, *rest), F.struct(*ordered, _tie(rest))).alias("newest")
     else:
         newest = F.max(F.struct(*ordered)).alias("newest")
     return df.groupBy("id").agg(newest).select("id", "newest.*").select(*[ref(c) for c in df.columns])
@@ -53,7 +69,7 @@ def silver_events(bronze: DataFrame, critical: Sequence[str] = CRITICAL_COLUMNS)
 
 
 # The day of an event; none for a time outside the years 1 to 9999, which no date can be made of.
-_EVENT_DATE = (
+EVENT_DATE = (
     "CASE WHEN timestamp BETWEEN -62135596800000 AND 253402300799999 THEN cast(timestamp_millis(timestamp) AS date) END"
 )
 
@@ -78,7 +94,7 @@ def gold_metrics(silver: DataFrame) -> DataFrame:
 
 def gold_by_type_and_date(silver: DataFrame) -> DataFrame:
     """The same metrics per type and day of the event."""
-    day = F.expr(_EVENT_DATE).alias("event_date")
+    day = F.expr(EVENT_DATE).alias("event_date")
     return (
         silver.groupBy(F.col("type").alias("event_type"), day)
         .agg(*_metrics())
@@ -101,7 +117,7 @@ def create_gold_views(spark: SparkSession, silver_name: str, views_in: str | Non
     )
     spark.sql(
         f"CREATE OR REPLACE {kind} {per_day} AS "
-        f"SELECT type AS event_type, {_EVENT_DATE} AS event_date, {metrics} "
+        f"SELECT type AS event_type, {EVENT_DATE} AS event_date, {metrics} "
         f"FROM {silver_name} GROUP BY ALL"
     )
     return per_type, per_day
