@@ -50,19 +50,33 @@ RULES = (
     Rule("private_key", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1, "contains(text, 'PRIVATE KEY')"),
 )
 
-_SPANS = "array<struct<start:int,kind_number:int,kind:string,end:int>>"
+_SPANS = "array<struct<start:int,kind_number:int,kind:string,end:int,version:int>>"
+# A list that grows is copied with each match, so that matches are placed in runs of so many, and the runs after that.
+RUN = 256
 _FINDINGS = f"blob string, rules array<string>, spans {_SPANS}"
 
 
-def _spans(rule: Rule, number: int) -> Column:
-    """Where a rule matches, in code points: the texts between matches and the matches themselves, added up."""
-    text, pattern = F.col("text"), F.lit(rule.pattern)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.split(text, rule.pattern, -1)
+def _matches(rule: Rule) -> tuple[Column, Column]:
+    """All matches of a rule that is due, and the lengths of the texts between them."""
+    due = F.array_contains("rules", rule.key) & F.expr(rule.hint) & F.col("text").rlike(rule.pattern)
+    found = F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(0))
+    gaps = F.transform(F.split("text", rule.pattern, -1), lambda gap: F.length(gap))
+    nothing = F.array().cast("array<string>"), F.array().cast("array<int>")
+    return F.when(due, found).otherwise(nothing[0]), F.when(due, gaps).otherwise(nothing[1])
+
+
+def _items(found: Column, gaps: Column, rule: Rule) -> Column:
+    """For each match the text before it, its own length, and the length that the rule asks for."""
     lengths = F.transform(found, lambda match: F.length(match))
-    gaps = F.transform(between, lambda gap: F.length(gap))
+    judged = F.transform(found, lambda match: F.length(F.regexp_extract(match, rule.pattern, rule.group)))
+    return F.arrays_zip(
+        F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), lengths.alias("length"), judged.alias("judged")
+    )
+
+
+def _spans(items: Column, rule: Rule, number: int) -> Column:
+    """Where the matches lie, in code points: the texts between them and the matches themselves, added up."""
     empty = F.array().cast("array<struct<start:int,end:int,judged:int>>")
-    step = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
 
     def add(state: Column, item: Column) -> Column:
         start = state["at"] + item["gap"]
@@ -70,29 +84,41 @@ def _spans(rule: Rule, number: int) -> Column:
         span = F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), item["judged"].alias("judged"))
         return F.struct(end.cast("int").alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    judged = F.transform(found, lambda match: F.length(F.regexp_extract(match, rule.pattern, rule.group)))
-    items = F.arrays_zip(
-        F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), lengths.alias("length"), judged.alias("judged")
-    )
-    placed = F.aggregate(items, step, add, lambda state: state["spans"])
+    def follow(state: Column, length: Column) -> Column:
+        begin = F.concat(state["begins"], F.array(state["at"]))
+        return F.struct((state["at"] + length).cast("int").alias("at"), begin.alias("begins"))
+
+    firsts = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(RUN))).otherwise(F.array().cast("array<int>"))
+    runs = F.transform(firsts, lambda first: F.slice(items, first, F.lit(RUN)))
+    taken = F.transform(runs, lambda run: F.aggregate(run, F.lit(0), lambda sum_, i: sum_ + i["gap"] + i["length"]))
+    first_step = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins"))
+    begins = F.aggregate(taken, first_step, follow, lambda state: state["begins"])
+
+    def place(run: Column, begin: Column) -> Column:
+        return F.aggregate(run, F.struct(begin.alias("at"), empty.alias("spans")), add, lambda state: state["spans"])
+
+    placed = F.flatten(F.zip_with(runs, begins, place))
     kept = F.filter(placed, lambda span: span["judged"] >= rule.min_length)
     return F.transform(
         kept,
         lambda span: F.struct(
             span["start"].alias("start"), F.lit(number).alias("kind_number"), F.lit(rule.kind).alias("kind"),
-            span["end"].alias("end"),
+            span["end"].alias("end"), F.lit(rule.version).alias("version"),
         ),
     )
 
 
-def _scanned(rules: tuple[Rule, ...]) -> Column:
-    """All spans under the rules that are due."""
-    nothing = F.array().cast(_SPANS)
-    parts = []
+def _scanned(due: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """``blob, rules, spans`` under the rules that are due. Matches and items are columns of their own: what follows looks at
+    them more than once."""
+    found, items = {}, {}
     for number, rule in enumerate(rules):
-        due = F.array_contains("rules", rule.key) & F.expr(rule.hint) & F.col("text").rlike(rule.pattern)
-        parts.append(F.when(due, _spans(rule, number)).otherwise(nothing))
-    return F.concat(*parts)
+        found[f"found_{number}"], found[f"gaps_{number}"] = _matches(rule)
+        items[f"items_{number}"] = _items(F.col(f"found_{number}"), F.col(f"gaps_{number}"), rule)
+    spans = [_spans(F.col(f"items_{number}"), rule, number) for number, rule in enumerate(rules)]
+    placed = due.select("blob", "rules", *(c.alias(n) for n, c in found.items()))
+    placed = placed.select("blob", "rules", *(c.alias(n) for n, c in items.items()))
+    return placed.select("blob", "rules", F.concat(*spans).alias("spans"))
 
 
 class Ledger:
@@ -135,7 +161,7 @@ def scan(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -
     """Scan what the ledger has not seen and add it; how many blobs that were."""
     scratch = Scratch(versions.sparkSession, "scan")
     due = unseen(versions, ledger, rules)
-    found = scratch.settle(due.select("blob", "rules", _scanned(rules).alias("spans")), "found")
+    found = scratch.settle(_scanned(due, rules), "found")
     count = found.count()
     if count:
         ledger.add(found)
@@ -145,11 +171,21 @@ def scan(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -
 
 def findings(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``versions`` without its text, with the ``spans`` known of its blob under these rule versions, by start and then
-    by rule. Only blobs with findings are joined; copies of one blob may be very many."""
-    current = F.array(*(F.lit(rule.kind) for rule in rules))
-    known = ledger.rows().where(F.arrays_overlap("rules", F.array(*(F.lit(rule.key) for rule in rules))))
-    known = known.where("size(spans) > 0").groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    known = known.withColumn("spans", F.array_sort(F.filter("spans", lambda s: F.array_contains(current, s["kind"]))))
+    by rule. What an earlier version of a rule found counts no longer, and what two scans at once found counts once. Only blobs with findings are joined; copies of one blob may be very many."""
+    current = F.array(*(F.lit(rule.key) for rule in rules))
+    known = ledger.rows().where(F.arrays_overlap("rules", current) & (F.size("spans") > 0))
+    known = known.groupBy("blob").agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    key = lambda span: F.concat_ws(":", span["kind"], span["version"].cast("string"))
+    spans = F.filter("spans", lambda span: F.array_contains(current, key(span)))
+    by_rule = F.transform(
+        spans,
+        lambda span: F.struct(
+            span["start"].alias("start"), F.array_position(current, key(span)).cast("int").alias("kind_number"),
+            span["kind"].alias("kind"), span["end"].alias("end"), span["version"].alias("version"),
+        ),
+    )
+    known = known.withColumn("spans", F.sort_array(by_rule))
+    known = known.withColumn("spans", F.filter("spans", lambda span, i: (i == 0) | (F.get("spans", i - 1) != span)))
     versions = with_blob(versions).drop("text", "spans")
     return versions.join(known, "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast(_SPANS)))
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftlake.llm import setsketch
+from siftlake.llm.columns import put_aside
 from siftlake.llm.components import components
 from siftlake.llm.tokens import MULTIPLIER, U64, Words, fixed_binary, lists, mix, over_batches, shingle_sets
 from siftlake.workspace import Scratch
@@ -337,13 +338,8 @@ def _between_components(
     return rows.mapInArrow(_by_block(_block_links), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id, text``, other columns are left out).
-
-    A text without words, an empty or a null text has an empty set, is linked with nothing and is kept. Rows with equal
-    sets are copies, linked without a check. Rows that repeat an id are linked by their sets like any others. A row
-    without an id has no component and is kept. An empty table gives no rows.
-    """
+def _found(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, node, component, component_id, kept`` for every row."""
     scratch = Scratch(docs.sparkSession, "setsketch")
     sketched = scratch.settle(sketches(docs), "sketches")
     members = sketched.select("doc_id", "n_shingles", "node")
@@ -370,19 +366,54 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = nodes.select("id", "node", "doc_id").join(labels.withColumnRenamed("node", "id"), "id", "left")
     named = named.withColumn("component", F.coalesce("component", "id"))
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(ids, "component").select("node", "component_id")
+    named = named.join(ids, "component").select("node", "component", "component_id")
     rows = members.join(named, "node", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return rows.select(
-        "doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept")
-    )
+    kept = F.coalesce(F.col("doc_id") == own, F.lit(True))
+    return rows.select("doc_id", "n_shingles", "node", "component", own.alias("component_id"), kept.alias("kept"))
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id, text``, other columns are left out).
+
+    A text without words, an empty or a null text has an empty set, is linked with nothing and is kept. Rows with equal
+    sets are copies, linked without a check. Rows that repeat an id are linked by their sets like any others. A row
+    without an id has no component and is kept. An empty table gives no rows.
+    """
+    return _found(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _nodes_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+    ids = pa.array(np.zeros(batch.num_rows, np.int64))
+    sketched = _sketch(pa.RecordBatch.from_arrays([ids, batch["text"]], ["doc_id", "text"]))
+    return pa.RecordBatch.from_arrays([batch["digest"], sketched["node"]], ["digest", "node"])
+
+
+def _one_of_each_set(docs: DataFrame, found: DataFrame, clashing: DataFrame) -> DataFrame:
+    """Of the rows whose id another row has, too: those without words, and one row of each component whose least row by id
+    and set it is."""
+    aside, back = put_aside(docs, {"doc_id", "text"})
+    rows = aside.join(clashing, "doc_id", "left_semi").withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    texts = rows.select("digest", "text").dropDuplicates(["digest"])
+    kind = dict(found.dtypes)["node"]
+    rows = rows.join(texts.mapInArrow(over_batches(_nodes_of), f"digest string, node {kind}"), "digest")
+    least = found.where("component IS NOT NULL AND doc_id IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("least"))
+    chosen = rows.join(least.select("least.*"), ["doc_id", "node"], "left_semi")
+    first = chosen.groupBy("doc_id", "node").agg(F.min("digest").alias("digest"))
+    chosen = chosen.join(first, ["doc_id", "node", "digest"], "left_semi").dropDuplicates(["doc_id", "node"])
+    return rows.where("node IS NULL").unionByName(chosen).select(*(back[c] for c in docs.columns))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one with the smallest id.
 
-    All columns stay. Rows without an id and texts without words stay; rows that repeat a kept id become one.
+    All columns stay. Rows without an id and texts without words stay. Of rows that share an id, those of unlike texts are
+    groups of their own and stay; of those in one group the least by its set and then by its text's digest stays, and any one
+    of several rows with that id and text.
     """
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    found = _found(docs)
+    per_id = found.where("doc_id IS NOT NULL").groupBy("doc_id")
+    per_id = per_id.agg(F.count(F.lit(1)).alias("rows"), F.bool_or("kept").alias("kept")).where("kept")
+    kept = docs.join(per_id.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
+    kept = kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    clashing = per_id.where("rows > 1").select("doc_id")
+    return kept if clashing.isEmpty() else kept.unionByName(_one_of_each_set(docs, found, clashing))

@@ -165,6 +165,43 @@ def test_near_duplicates_against_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({root(i) for i in ids}) and kept.columns == docs.columns
 
 
+def test_one_of_each_set_stays_when_ids_clash(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    near = a.replace("a29", "z")
+    rows = [(5, a), (5, b), (5, a), (6, near), (7, b), (8, c), (9, c), (9, "other " + c), (None, a), (None, a), (3, ""), (3, None)]
+    docs = spark.createDataFrame([(*r, "own", str(i)) for i, r in enumerate(rows)], "doc_id long, text string, node string, row string")
+    found = setsketch_dedup.keep_one(docs)
+    assert found.columns == docs.columns
+    kept = collections.Counter((r.doc_id, r.text) for r in found.collect())
+    assert kept == {(5, a): 1, (5, b): 1, (8, c): 1, (None, a): 2, (3, ""): 1, (3, None): 1}
+    # Two near copies with one id and nothing less: one of them.
+    docs = spark.createDataFrame([(5, a), (5, near), (5, near.upper()), (6, c)], "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in setsketch_dedup.keep_one(docs).collect()]
+    assert len(kept) == 2 and (6, c) in kept
+
+
+def test_findings_of_a_newer_rule_alone(spark, tmp_path):
+    ledger = secret_ledger.Ledger(spark, str(tmp_path / "ledger"))
+    docs = spark.createDataFrame([(1, "key 0123456789abcdef01 and 00112233445566778899aa")], "doc_id long, text string")
+    assert secret_ledger.scan(docs, ledger) == 1
+    newer = (*secret_ledger.RULES[:2], secret_ledger.Rule("hex", 2, r"[0-9a-f]{20,}", 0, 20))
+    assert secret_ledger.scan(docs, ledger, newer) == 1
+    row = secret_ledger.digest(secret_ledger.findings(docs, ledger, newer)).first()
+    assert (row.spans, row.n_hex) == ("hex:27:49", 1)
+    assert secret_ledger.digest(secret_ledger.findings(docs, ledger)).first().spans == "hex:4:22,hex:27:49"
+    # Two scans at once write the same twice.
+    ledger.add(ledger.rows())
+    assert secret_ledger.digest(secret_ledger.findings(docs, ledger)).first().n_hex == 2
+
+
+def test_a_megabyte_of_matches(spark, tmp_path):
+    text = "é " + "0123456789abcdef " * 60_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = secret_ledger.scan_documents(docs, str(tmp_path / "ledger")).first()
+    spans = ",".join(f"hex:{2 + 17 * i}:{18 + 17 * i}" for i in range(60_000))
+    assert row.n_hex == 60_000 and row.spans == spans
+
+
 def test_estimates_follow_the_similarity():
     random = np.random.default_rng(0)
     for n, shared in ((50, 43), (400, 343), (3000, 1500)):
