@@ -120,17 +120,17 @@ class Words:
 _SHINGLE_FACTORS = mix(np.arange(1, SHINGLE_WORDS + 1, dtype=U64) * U64(0xA0761D6478BD642F)) | U64(1)
 
 
-def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all shingles in text order and the bounds of each text's: five words running, or the whole text when it
-    has fewer; none without words."""
+def shingles(words: Words, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all shingles in text order and the bounds of each text's: up to five words running, or the whole text when
+    it has fewer; none without words."""
     counts = np.diff(words.bounds)
-    n = np.where(counts >= SHINGLE_WORDS, counts - SHINGLE_WORDS + 1, np.minimum(counts, 1))
+    n = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     bounds = np.concatenate([[0], np.cumsum(n)])
     at = np.arange(bounds[-1]) - np.repeat(bounds[:-1], n) + np.repeat(words.bounds[:-1], n)
-    have = np.repeat(np.minimum(counts, SHINGLE_WORDS), n)
+    have = np.repeat(np.minimum(counts, size), n)
     codes = have.astype(U64)
     last = max(len(words) - 1, 0)
-    for k in range(SHINGLE_WORDS):
+    for k in range(size):
         part = words.code[np.minimum(at + k, last)] * _SHINGLE_FACTORS[k] if len(at) else codes
         codes = codes + np.where(k < have, part, U64(0))
     return mix(codes), bounds

@@ -383,16 +383,109 @@ def test_contamination_against_all_windows(spark):
         for a in range(len(own) - length + 1 if length else 0):
             shared = sum((collections.Counter(own[a : a + length]) & collections.Counter(wanted)).values())
             best = max(best, shared / (length + len(wanted) - shared))
+        few = (item or "").split()
+        if 2 <= len(few) <= 4 and f" {item} " in f" {(text or '').lower()} ":
+            best = 1
         if best >= 0.75:
             expected[i, j] = pytest.approx(best)
     found = simhash_decontamination.contaminations(docs, benchmark).collect()
     assert {(r.doc_id, r.item_id): r.similarity for r in found} == expected and len(expected) >= 10
+    assert sum(j == 0 for _, j in expected) >= 3
+    for r in found:
+        if r.item_id == 0:
+            words = texts[r.doc_id].lower().split()
+            assert words[r.first_word : r.last_word + 1] == items[0].split()
+            assert items[0].split() not in [words[k : k + 3] for k in range(r.first_word)]
     clean = simhash_decontamination.without_contaminated(docs, benchmark)
     assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {i for i, _ in expected}
     assert simhash_decontamination.contaminations(docs, benchmark.limit(0)).collect() == []
     assert simhash_decontamination.without_contaminated(docs.limit(0), benchmark).collect() == []
 
 
+def _best_window(text, item):
+    """Similarity of the best item-sized window, and its first shingle."""
+    own, wanted = shingles(text), collections.Counter(shingles(item))
+    length = min(len(own), wanted.total())
+    best = (0, 0)
+    for a in range(len(own) - length + 1 if length else 0):
+        shared = (collections.Counter(own[a : a + length]) & wanted).total()
+        best = max(best, (shared / (length + wanted.total() - shared), -a))
+    return best[0], -best[1]
+
+
+def test_items_that_repeat_a_word_are_found_without_their_tails(spark):
+    """The fingerprints of such windows are as near as any others': every repeat has a vote of its own."""
+    random = np.random.default_rng(8)
+    rows, items = [], []
+    for k in range(60):
+        words = [f"k{k}v{i}" for i in random.integers(0, 5000, size=90)]
+        items.append(" ".join(words + ["so"] * 14))
+        before, after = ([f"f{i}" for i in random.integers(0, 5000, size=40)] for _ in range(2))
+        rows.append((k, " ".join(before + words + after)))
+    items.append("na " * 30)
+    rows += [(60, "x y " + "na " * 45 + "z"), (61, "na " * 28), (62, "x y " + "na " * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    expected = {}
+    for (i, text), (j, item) in itertools.product(rows, enumerate(items)):
+        if i == j or j == 60:
+            similarity, first = _best_window(text, item)
+            if similarity >= 0.75:
+                expected[i, j] = (pytest.approx(similarity), first)
+    found = simhash_decontamination.contaminations(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id): (r.similarity, r.first_word) for r in found} == expected
+    assert len(expected) == 62
+
+
+def test_windows_that_move_on_keep_their_sums():
+    random = np.random.default_rng(9)
+    for n, length in ((1, 1), (7, 7), (400, 1), (400, 30), (9000, 60)):
+        codes = np.array([3, 5, 1 << 60, 77, (1 << 64) - 9], np.uint64)[random.integers(0, 5, size=n)]
+        item = simhash_decontamination.Items([1], ["a b c d e f"])
+        own = codes[-length:]
+        item.size, item.prints = np.array([length]), simhash_decontamination._fingerprints(
+            simhash_decontamination._sum_of_votes(own, simhash_decontamination._Places(own).repeat)[None, :]
+        )
+        item.codes, item.counts = zip(np.unique(own, return_counts=True))
+        item.near[:] = True
+        found = list(item.windows(codes, 0, 0, n - 1))
+        near = {}
+        for a in range(n - length + 1):
+            window = codes[a : a + length]
+            shared = (collections.Counter(window.tolist()) & collections.Counter(own.tolist())).total()
+            votes = simhash_decontamination._sum_of_votes(window, simhash_decontamination._Places(window).repeat)
+            far = np.unpackbits(simhash_decontamination._fingerprints(votes[None, :]) ^ item.prints).sum()
+            if far <= simhash_decontamination.RADIUS and shared * 100 >= 75 * (2 * length - shared):
+                near[a] = pytest.approx(shared / (2 * length - shared))
+        assert {a: s for s, a, _ in found} == near and n - length in near
+        assert all(b == a + length - 1 for _, a, b in found) and len(found) == len(near)
+
+
+def test_items_that_share_a_phrase(spark, monkeypatch):
+    """Common shingles lead to no item as long as rarer ones do; where none is rare, places are worked on in parts."""
+    random = np.random.default_rng(10)
+    phrase = "which of the following is right"
+    items = [f"{phrase} " + " ".join(f"w{i}" for i in random.integers(0, 9000, size=20)) for _ in range(300)]
+    items += [f"{phrase} t{k}" for k in range(30)]
+    monkeypatch.setattr(simhash_decontamination, "PLACES_AT_ONCE", 100)
+    held = simhash_decontamination.Items(list(range(len(items))), items)
+    texts = [f"{phrase} " * 2000, items[7] + " end", f"start {items[310]}", f"{phrase} {items[299]} {phrase}"]
+    assert sum(len(at) for at, _ in held.anchors(np.concatenate(held.codes[:300]))) < 300 * 8
+    column = simhash_decontamination.pa.array(texts)
+    found = {(row, item): (s, first) for row, item, s, first, _ in simhash_decontamination.find(column, held)}
+    expected = {}
+    for (i, text), (j, item) in itertools.product(enumerate(texts[1:], 1), enumerate(items)):
+        similarity, first = _best_window(text, item)
+        if similarity >= 0.75:
+            expected[i, j] = (pytest.approx(similarity), first)
+    assert {k: v for k, v in found.items() if k[0]} == expected and {(1, 7), (2, 310), (3, 299)} <= set(expected)
+    assert not any(row == 0 for row, _ in found)
+    docs = spark.createDataFrame([(1, items[3]), (2, "clean"), (3, f"{phrase} none")], "doc_id long, text string")
+    nameless = spark.createDataFrame([(None, items[3])], "item_id long, text string")
+    assert simhash_decontamination.contaminations(docs, nameless).count() == 0
+    assert {r.doc_id for r in simhash_decontamination.without_contaminated(docs, nameless).collect()} == {2, 3}
+
+
 def test_languages_of_texts_that_were_not_learned_from(spark):
     random = np.random.default_rng(6)
     parts = {"en": ["the", "and", "tion", "ing"], "de": ["der", "sch", "ung", "ß"], "fr": ["eau", "que", "é", "ment"]}
