@@ -3,15 +3,28 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from itertools import batched
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlake.functions.predicates import matches
-from siftlake.operators.profile import row_count, rows_per_value
+from siftlake.operators.profile import row_count
 from siftlake.schemas import literal, quoted, ref
-from siftlake.workspace import move, new_path, partition_folders, remove
+from siftlake.workspace import (
+    Scratch,
+    exists,
+    from_uri,
+    move,
+    new_path,
+    partition_folders,
+    read_text,
+    remove,
+    write_new,
+)
+
+# Emptied partitions that one statement takes out of the catalog.
+PARTITIONS_AT_ONCE = 1000
 
 
 def without(df: DataFrame, condition: str | None) -> DataFrame:
@@ -50,9 +63,12 @@ def delete_from_path(
 
     A Delta dataset is changed in place. Plain Parquet has no transaction log: the remaining rows are written once, beside
     ``path`` and with the same partition folders, and then take its place; the old files go when the switch is done. A
-    job that is lost before the switch leaves ``path`` as it was; between its two renames the old files lie beside it.
+    driver lost on the way leaves a marker beside ``path``, by which the next call undoes or finishes what was begun
+    (``recover_path``) before it looks at the data. One delete at a time may work on a path.
     With a ``target`` the remaining rows go there instead and ``path`` stays as it was.
     """
+    if fmt != "delta":
+        recover_path(spark, path)
     before = spark.read.format(fmt).load(path)
     rows_before = before.count()
     if fmt == "delta":
@@ -62,6 +78,10 @@ def delete_from_path(
     partitions = [partition_by] if partition_by else partition_folders(spark, path)
     beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     written = target or f"{beside}-new"
+    if target is None:
+        # Without the marker nothing is to be moved: another delete that works on the path would be disturbed.
+        if not write_new(spark, _marker(path), beside):
+            raise OSError(f"another delete works on {path}")
     kept = without(before, condition)
     if partitions:
         kept = kept.hint("rebalance", *partitions)
@@ -71,17 +91,46 @@ def delete_from_path(
         move(spark, path, f"{beside}-old")
         move(spark, written, path)
         remove(spark, f"{beside}-old")
+        remove(spark, _marker(path))
         target = path
         spark.catalog.refreshByPath(path)
     return target, _summary(spark, rows_before, spark.read.schema(before.schema).format(fmt).load(target).count())
 
 
+def _marker(path: str) -> str:
+    return f"{path.rstrip('/')}-delete"
+
+
+def recover_path(spark: SparkSession, path: str) -> bool:
+    """Bring a dataset that a lost delete has left back into place; whether there was one.
+
+    Before the first rename the dataset lies where it was, so what was written beside it goes and the delete has not
+    happened. After it the remaining rows are complete and take their place. No row that should stay is lost either way,
+    and a recovery that is lost itself may be repeated.
+    """
+    if not exists(spark, _marker(path)):
+        return False
+    beside = read_text(spark, _marker(path))
+    old, new = f"{beside}-old", f"{beside}-new"
+    if exists(spark, path):
+        if exists(spark, new) and exists(spark, old):
+            raise OSError(f"{path} was written anew after a lost delete; its rows before the delete lie in {old}")
+        remove(spark, new)
+    else:
+        move(spark, new if exists(spark, new) else old, path)
+    remove(spark, old)
+    remove(spark, _marker(path))
+    spark.catalog.refreshByPath(path)
+    return True
+
+
 def delete_from_table(spark: SparkSession, table: str, condition: str | None = None) -> DataFrame:
     """Delete from a Parquet table of the catalog; returns the same counts.
 
-    In a partitioned table only partitions that hold matching rows are touched: those that lose all rows are emptied,
-    those that lose some are rewritten, all others stay as they are. Running it again after a failure finishes the job,
-    since rows already gone match nothing. A table without partitions is rewritten as a whole.
+    In a partitioned table only partitions that hold matching rows are touched: those that lose all rows are removed with
+    their folders, those that lose some are rewritten at once, all others stay as they are. However many they are, that is
+    a fixed number of jobs, and the list of them stays in a working table. Running it again after a failure finishes the
+    job, since rows already gone match nothing. A table without partitions is rewritten as a whole.
     """
     df = spark.table(table)
     rows_before = df.count()
@@ -104,32 +153,40 @@ def _partition_column(spark: SparkSession, table: str) -> str | None:
 def _delete_by_partition(
     spark: SparkSession, table: str, df: DataFrame, partition: str, condition: str | None
 ) -> None:
-    # One row per partition touched: the catalog itself holds such a list.
-    gone = _rows_by_partition(df if condition is None else df.filter(condition), partition)
-    held = _rows_by_partition(df.filter(_in_partitions(partition, gone)), partition) if gone else {}
-    emptied = [value for value, n in gone.items() if n == held[value]]
-    rewritten = [value for value, n in gone.items() if n < held[value]]
-    if rewritten:
-        _replace(spark, table, without(df.filter(_in_partitions(partition, rewritten)), condition), partition)
-    if condition is None and emptied:
+    if condition is None:
         spark.sql(f"INSERT OVERWRITE {table} {_no_rows(df, df.columns)}")
-    else:
-        nothing = _no_rows(df, [c for c in df.columns if c != partition])
-        # One after the other: concurrent writes below one table folder disturb each other's commits.
-        for value in emptied:
-            value = "NULL" if value is None else literal(value)
-            spark.sql(f"INSERT OVERWRITE {table} PARTITION ({quoted(partition)} = {value}) {nothing}")
-
-
-def _rows_by_partition(df: DataFrame, partition: str) -> dict[str | None, int]:
-    counts = rows_per_value(df, partition).select(ref(partition).cast("string"), "count")
-    return {value: n for value, n in counts.collect()}
-
-
-def _in_partitions(partition: str, values: Iterable[str | None]) -> Column:
-    as_text = ref(partition).cast("string")
-    chosen = as_text.isin([v for v in values if v is not None])
-    return chosen | as_text.isNull() if None in values else chosen
+        return
+    scratch = Scratch(spark, "delete")
+    doomed = df.filter(condition)
+    folder = F.regexp_replace(doomed.metadataColumn("_metadata")["file_path"], "/[^/]*$", "")
+    doomed = doomed.select(ref(partition).alias("value"), folder.alias("folder"))
+    gone = scratch.settle(doomed.groupBy("value").agg(F.count(F.lit(1)).alias("gone"), F.max("folder").alias("folder")))
+    held = _rows_of(df, gone, partition).groupBy(ref(partition).alias("value")).agg(F.count(F.lit(1)).alias("held"))
+    touched = gone.join(held.withColumnRenamed("value", "other"), F.col("value").eqNullSafe(F.col("other")))
+    touched = scratch.settle(touched.drop("other"))
+    rewritten = touched.where("gone < held")
+    if not rewritten.isEmpty():
+        _replace(spark, table, without(_rows_of(df, rewritten, partition), condition), partition)
+    emptied = touched.where("gone = held").select(F.col("value").cast("string"), "folder").coalesce(1)
+    for some in batched(emptied.toLocalIterator(), PARTITIONS_AT_ONCE):
+        # The rows first: what is lost in between is an entry without rows, not rows without an entry.
+        for row in some:
+            remove(spark, from_uri(spark, row.folder))
+        values = ["NULL" if row.value is None else literal(row.value) for row in some]
+        specs = ", ".join(f"PARTITION ({quoted(partition)} = {value})" for value in values)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    scratch.close()
+
+
+def _rows_of(df: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
+    """The rows of some partitions. The join lets Spark find the partitions to read when it runs (dynamic pruning), as long
+    as the list of them is short enough to be broadcast by the session's threshold; NULL, which no join finds, is asked for."""
+    # To Spark a comparison is a sign that the list is selective, which pruning depends on.
+    values = touched.where("gone > 0").select(F.col("value").alias("__value"))
+    rows = df.join(values, ref(partition) == F.col("__value"), "left_semi")
+    if touched.where("value IS NULL").isEmpty():
+        return rows
+    return rows.unionByName(df.where(ref(partition).isNull()))
 
 
 def _no_rows(df: DataFrame, columns: list[str]) -> str:

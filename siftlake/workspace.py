@@ -45,6 +45,11 @@ def remove(spark: SparkSession, path: str) -> None:
     file_system.delete(target, True)
 
 
+def from_uri(spark: SparkSession, uri: str) -> str:
+    """The path that Spark's file metadata names by an encoded URI."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder within its store."""
     file_system, old = _file_system(spark, source)

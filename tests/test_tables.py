@@ -1,3 +1,5 @@
+import uuid
+
 import datetime
 from pathlib import Path
 
@@ -354,3 +356,86 @@ def test_working_tables_go(spark):
     assert [p.name for p in Path(scratch.path).iterdir()] == ["002-table"]
     scratch.close()
     assert not Path(scratch.path).exists()
+
+
+def _jobs_of(spark, work):
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_delete_of_many_partitions_at_once(spark, tmp_path, external, monkeypatch):
+    monkeypatch.setattr(mutations, "PARTITIONS_AT_ONCE", 16)
+    names = ["a b", "50%", "it's", "x/y", "c:d", "é", "a=b", "k%20l"] + [f"d{i:03}" for i in range(52)]
+    rows = [(i, v) for v in names for i in range(3)] + [(i, None) for i in range(3)]
+    df = spark.createDataFrame(rows, "id int, part string")
+    jobs = []
+    for k, gone in enumerate((names[:2], [*names[:50], None])):
+        name, at = f"many{external}{k}".lower(), str(tmp_path / f"many{k}")
+        writer = df.repartition(1).write.partitionBy("part")
+        (writer.option("path", at) if external else writer).saveAsTable(name)
+        listed = ", ".join("'" + v.replace("'", "\\'") + "'" for v in gone if v is not None)
+        null = " OR part IS NULL" if None in gone else ""
+        condition = f"part IN ({listed}){null} OR (part = 'd051' AND id = 1)"
+        n = 3 * len(gone) + 1
+        jobs.append(_jobs_of(spark, lambda: mutations.delete_from_table(spark, name, condition)))
+        left = {(r.id, r.part) for r in spark.table(name).collect()}
+        assert left == {r for r in rows if r[1] not in gone and r != (1, "d051")} and len(left) == len(rows) - n
+        assert spark.sql(f"SHOW PARTITIONS {name}").count() == len(names) + 1 - len(gone)
+        if external:
+            # No file is left behind that a repair of the catalog would bring back.
+            assert spark.read.parquet(at).count() == len(left)
+        assert tuple(mutations.delete_from_table(spark, name, condition).first()) == (len(left), 0, len(left))
+        spark.sql(f"DROP TABLE {name}")
+    assert jobs[1] <= jobs[0] + 2, jobs
+
+
+def test_delete_reads_the_partitions_it_touches(spark, tmp_path):
+    spark.range(400).selectExpr("id", "id % 40 AS part").write.partitionBy("part").saveAsTable("pruned_delete")
+    touched = spark.createDataFrame([(3, 1)], "value long, gone long")
+    touched.write.parquet(str(tmp_path / "touched"))
+    rows = mutations._rows_of(spark.table("pruned_delete"), spark.read.parquet(str(tmp_path / "touched")), "part")
+    assert "dynamicpruning" in rows._jdf.queryExecution().toString() and rows.count() == 10
+    spark.sql("DROP TABLE pruned_delete")
+
+
+@pytest.mark.parametrize("lost_at", ["written", "first", "second", "removed"])
+def test_a_lost_delete_is_undone_or_finished(spark, tmp_path, monkeypatch, lost_at):
+    path = str(tmp_path / "lost")
+    spark.range(20).write.parquet(path)
+    steps = {"written": ("move", 0), "first": ("move", 1), "second": ("remove", 0), "removed": ("remove", 1)}
+    step, after = steps[lost_at]
+    calls, real = [], getattr(mutations, step)
+
+    def failing(*arguments):
+        calls.append(arguments)
+        if len(calls) > after:
+            raise SystemError("lost")
+        real(*arguments)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(mutations, step, failing)
+        with pytest.raises(SystemError):
+            mutations.delete_from_path(spark, path, "id < 5")
+    assert mutations.recover_path(spark, path)
+    assert not mutations.recover_path(spark, path)
+    left = sorted(r.id for r in spark.read.parquet(path).collect())
+    assert left == ([*range(20)] if lost_at == "written" else [*range(5, 20)])
+    assert tuple(mutations.delete_from_path(spark, path, "id < 5")[1].first())[2] == 15
+    assert [p.name for p in tmp_path.iterdir()] == ["lost"]
+
+
+def test_a_lost_delete_is_not_mistaken_for_a_new_dataset(spark, tmp_path):
+    path = str(tmp_path / "anew")
+    spark.range(3).write.parquet(path)
+    assert mutations.write_new(spark, f"{path}-delete", f"{path}-1")
+    for name in ("-1-old", "-1-new"):
+        spark.range(5).write.parquet(path + name)
+    with pytest.raises(OSError, match="written anew"):
+        mutations.delete_from_path(spark, path, "id = 1")
+    assert spark.read.parquet(f"{path}-1-old").count() == 5
