@@ -46,6 +46,7 @@ from siftlake.sources.messages import MessageFiles
 from siftlake.sources.tables import read_path, read_table
 from siftlake.streaming.bronze import load_bronze
 from siftlake.streaming.ingest import ingest_events
+from siftlake.streaming.live import BatchCounts, ingest_watched
 from siftlake.workspace import new_path, use_local_root
 
 TABLES = (
@@ -407,6 +408,16 @@ def delete_counts(spark, sf_dir):
     return reduce(DataFrame.unionByName, labelled)
 
 
+def delete_partitions(spark, sf_dir):
+    """The rows left in a table of 60 partitions, of which 40 are emptied and some rewritten at once."""
+    path = new_path(spark, "table")
+    name = f"parts_{path[-32:]}"
+    rows = _flawed(spark, sf_dir).select("id", "value", F.expr("pmod(id, 60)").alias("part")).repartition("part")
+    rows.write.partitionBy("part").option("path", path).saveAsTable(name)
+    mutations.delete_from_table(spark, name, "part < 40 or (part % 7 = 3 and value > 20)")
+    return read_table(spark, name).select("id", "value")
+
+
 def delete_preview(spark, sf_dir):
     return mutations.delete_preview(_flawed(spark, sf_dir), _DELETE)
 
@@ -426,6 +437,16 @@ def stream_check(spark, sf_dir):
     return check.nulls.select(*_SHOWN, F.lit(total).cast("long").alias("total_rows"))
 
 
+def live_checks(spark, sf_dir):
+    """The counts of all micro-batches of two runs, added up."""
+    topic, table, checkpoint, counts = (new_path(spark, p) for p in ("topic", "raw", "stream", "counts"))
+    messages, written = _messages(spark, sf_dir), BatchCounts(spark, counts)
+    for some in ("offset % 3 = 0", "offset % 3 <> 0"):
+        messages.where(some).repartition(2).write.mode("append").parquet(topic)
+        rows = ingest_watched(spark, MessageFiles(topic, 1), table, checkpoint, written, schema=WIDE_EVENT)
+    return rows.agg(*(F.sum(name).alias(name) for name in written.names))
+
+
 def incremental_files(spark, sf_dir):
     export, bronze, checkpoint = (new_path(spark, p) for p in ("export", "bronze", "stream"))
     events = _events(spark, sf_dir)
@@ -578,9 +599,11 @@ _QUERIES = (
     external_table,
     delete_where,
     delete_counts,
+    delete_partitions,
     delete_preview,
     stream_ingest,
     stream_check,
+    live_checks,
     incremental_files,
     bronze_reload,
     silver_clean,
@@ -973,6 +996,8 @@ def _own_sql() -> dict[str, str]:
                 count(*) FILTER (WHERE coalesce({some}, false)) AS gone FROM e)
             SELECT CAST(1 AS INTEGER) AS step, n AS total_rows, gone AS deleted_rows, n - gone AS remaining_rows FROM g
             UNION ALL SELECT 2, n - gone, n - gone, 0 FROM g""",
+        "delete_partitions": f"WITH {_SQL_FLAWED} SELECT id, value FROM e WHERE id % 60 >= 40 "
+        "AND NOT coalesce(id % 60 % 7 = 3 AND value > 20, false)",
         "delete_preview": f"WITH {_SQL_FLAWED} SELECT count(*) AS total_rows, "
         f"count(*) FILTER (WHERE {doomed}) AS rows_to_delete FROM e",
         "stream_ingest": f'WITH {_SQL_EVENTS} SELECT id, CAST(trunc(value) AS INTEGER) AS value, type, "timestamp", '
@@ -984,6 +1009,9 @@ def _own_sql() -> dict[str, str]:
                 CASE WHEN lost > 0 THEN format('id({{}}), value({{}}), type({{}}), timestamp({{}})', lost, lost, lost, lost)
                      ELSE 'no nulls' END AS detail,
                 CAST(CASE WHEN lost > 0 THEN 40 ELSE 0 END AS INTEGER) AS deduction, total_rows FROM n""",
+        "live_checks": f"""WITH {_SQL_FLAWED}, n AS (SELECT count(*) AS "rows", count(*) FILTER (WHERE type IS NULL) AS lost
+                FROM e)
+            SELECT "rows", lost AS missing_id, lost AS missing_value, lost AS missing_type, lost AS missing_timestamp FROM n""",
         "incremental_files": f"WITH {_SQL_EVENTS} {export}",
         "bronze_reload": f"WITH {_SQL_EVENTS} SELECT id, value, type, ingestion_date, "
         "CASE WHEN ingestion_date = DATE '2024-01-06' THEN id % 7 END AS note FROM e WHERE ingestion_date >= DATE '2024-01-05'",

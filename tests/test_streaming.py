@@ -11,7 +11,7 @@ from siftlake.sources.messages import KafkaTopic, MessageFiles
 from siftlake.sources.files import incremental_parquet
 from siftlake.sources.schema_log import SchemaConflict, SchemaLog
 from siftlake.sources.tables import read_path
-from siftlake.streaming import bronze
+from siftlake.streaming import bronze, live
 from siftlake.streaming.bronze import ledger_path, load_bronze
 from siftlake.streaming.ingest import (
     append_stream,
@@ -230,3 +230,72 @@ def test_topic_needs_the_connector(spark):
 def test_batch_read_of_message_files(spark, places):
     send(spark, places, 5)
     assert MessageFiles(places["topic"]).batch(spark).count() == 5
+
+
+def watched(spark, places, **options):
+    counts = live.BatchCounts(spark, places["raw"] + "-counts")
+    source = MessageFiles(places["topic"], max_per_trigger=1)
+    rows = live.ingest_watched(spark, source, places["raw"], places["checkpoint"], counts, **options)
+    return sorted(tuple(r) for r in rows.collect())
+
+
+def table_counts(spark, places):
+    table = read_path(spark, places["raw"])
+    return (table.count(), *(table.where(F.col(c).isNull()).count() for c in ("id", "value", "type", "timestamp")))
+
+
+def added_up(rows):
+    return tuple(sum(r[k] for r in rows) for k in range(1, 6))
+
+
+def test_live_checks_add_up_to_the_table(spark, places):
+    broken = [(0, 100 + i, b"not json") for i in range(3)]
+    send(spark, places, 10)
+    spark.createDataFrame(broken, MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(places["topic"])
+    rows = watched(spark, places)
+    assert sorted(r[1:] for r in rows) == [(3, 3, 3, 3, 3), (10, 0, 0, 0, 0)] and [r[0] for r in rows] == [0, 1]
+    assert added_up(rows) == table_counts(spark, places) == (13, 3, 3, 3, 3)
+    assert watched(spark, places) == rows
+    send(spark, places, 7, first=10)
+    again = watched(spark, places)
+    assert again[:2] == rows and again[2] == (2, 7, 0, 0, 0, 0) and len(again) == 3
+
+
+def test_live_checks_of_a_lost_driver_are_made_good(spark, places, monkeypatch):
+    send(spark, places, 10)
+    with monkeypatch.context() as lost:
+        # Reports of the batches after the first never arrive, and the run does not come to its end.
+        kept = live.BatchCounts.write
+        lost.setattr(live.BatchCounts, "write", lambda self, batch, *rest: batch == 0 and kept(self, batch, *rest))
+        lost.setattr(live, "REPORTS_WITHIN", 0.5)
+        for k in (1, 2):
+            send(spark, places, 5, first=10 * k)
+        watched(spark, places)
+    assert live.BatchCounts(spark, places["raw"] + "-counts").rows().count() == 1
+    send(spark, places, 4, first=30)
+    rows = watched(spark, places)
+    assert added_up(rows) == table_counts(spark, places) and added_up(rows)[0] == 24
+    assert [r[:2] for r in rows] == [(0, rows[0][1]), (2, 20 - rows[0][1]), (3, 4)]
+    assert watched(spark, places) == rows
+
+
+def test_live_checks_of_a_batch_are_written_once(spark, places):
+    counts = live.BatchCounts(spark, places["raw"] + "-counts", ["id"])
+    assert counts.rows().columns == ["batch", "rows", "missing_id"] and counts.rows().count() == 0
+    assert counts.write(4, {"rows": 2, "missing_id": None}) and not counts.write(4, {"rows": 9, "missing_id": 9})
+    assert [tuple(r) for r in counts.rows().collect()] == [(4, 2, 0)]
+    listener = live._Listener(counts, "x")
+    listener.close()
+    progress = type("P", (), {"observedMetrics": {"x": None}, "numInputRows": 3, "batchId": 5})
+    listener.onQueryProgress(type("E", (), {"progress": progress}))
+    assert counts.rows().count() == 1
+
+
+def test_live_checks_of_nothing(spark, places):
+    spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(places["topic"])
+    assert added_up(watched(spark, places)) == (0, 0, 0, 0, 0)
+
+
+def test_live_checks_of_a_timed_run(spark, places):
+    send(spark, places, 20)
+    assert added_up(watched(spark, places, seconds=8)) == table_counts(spark, places) == (20, 0, 0, 0, 0)
