@@ -29,7 +29,7 @@ from siftlake.functions.codec import (
 from siftlake.functions.columns import epoch_millis, stamp_ingest, with_partition_date
 from siftlake.functions.predicates import is_negative, not_in_set
 from siftlake.operators import layers, mutations, profile, quality
-from siftlake.operators.quality import QualitySuite, findings, report, run_checks
+from siftlake.operators.quality import QualitySuite, findings, measured, report, run_checks
 from siftlake.plans import lake_validation
 from siftlake.plans.export import event_suite, gated_export
 from siftlake.plans.flow import fill_layers, run_flow
@@ -193,6 +193,19 @@ def type_frequency(spark, sf_dir):
     return profile.value_frequency(_events(spark, sf_dir), "type", top=20)
 
 
+def top_values(spark, sf_dir):
+    return profile.top_values(_table(spark, sf_dir, "lineitem"), "l_partkey").union(
+        profile.top_values(_table(spark, sf_dir, "events"), "user_id", 5)
+    )
+
+
+def dq_measured(spark, sf_dir):
+    df = _flawed(spark, sf_dir).select("id", "value", "type", "ingestion_date")
+    return measured(df, QualitySuite(expected_columns=("id", "value", "lost"), partition_column="ingestion_date")).select(
+        "check", "column", "measure", F.round("value", 6).alias("value")
+    )
+
+
 def rows_per_date(spark, sf_dir):
     return profile.rows_per_date(_events(spark, sf_dir), first=None)
 
@@ -564,6 +577,8 @@ _QUERIES = (
     numeric_profile,
     exact_extremes,
     type_frequency,
+    top_values,
+    dq_measured,
     rows_per_date,
     first_dates,
     max_string_length,
@@ -874,6 +889,16 @@ def _own_sql() -> dict[str, str]:
         "WHERE value IS NOT NULL AND type IS NOT NULL",
         "type_frequency": "SELECT event_type AS type, count(*) AS count FROM events GROUP BY 1 "
         "ORDER BY 2 DESC, 1 LIMIT 20",
+        "top_values": """(SELECT l_partkey, count(*) AS count FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20)
+            UNION ALL (SELECT user_id, count(*) FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5)""",
+        "dq_measured": f"""WITH {_SQL_FLAWED}, d AS (SELECT count(*) AS c FROM e GROUP BY ingestion_date),
+            g AS (SELECT count(*) AS n, min(c) AS low, max(c) AS high, avg(c) AS mean FROM d),
+            m AS (SELECT 'partitions' AS measure, CAST(n AS DOUBLE) AS value FROM g UNION ALL SELECT 'min_rows', low FROM g
+                UNION ALL SELECT 'max_rows', high FROM g UNION ALL SELECT 'avg_rows', mean FROM g
+                UNION ALL SELECT 'ratio', high / mean FROM g)
+            SELECT 'distribution' AS "check", 'ingestion_date' AS "column", measure, round(value, 6) AS value FROM m
+            UNION ALL VALUES ('schema', 'lost', 'missing', 1), ('schema', 'ingestion_date', 'extra', 1),
+                ('schema', 'type', 'extra', 1)""",
         "rows_per_date": "SELECT CAST(ts AS DATE) AS ingestion_date, count(*) AS count FROM events GROUP BY 1",
         "first_dates": "SELECT CAST(ts AS DATE) AS ingestion_date, count(*) AS count FROM events GROUP BY 1 "
         "ORDER BY 1 LIMIT 10",

@@ -18,6 +18,10 @@ from siftlake.schemas import (
     ref,
     string_columns,
 )
+from siftlake.workspace import Scratch
+
+# Buckets whose values ``top_values`` counts first, for each value asked for.
+FULLEST_PER_VALUE = 4
 
 
 def count_where(condition: Column) -> Column:
@@ -110,6 +114,34 @@ def value_frequency(df: DataFrame, column: str = "type", top: int = 20) -> DataF
     return rows_per_value(df, column).orderBy(F.desc("count"), ref(column)).limit(top)
 
 
+def top_values(df: DataFrame, column: str, top: int = 20, buckets: int = 1 << 16) -> DataFrame:
+    """The same rows as ``value_frequency``, for columns with very many values, of which few cross the shuffle.
+
+    Values are counted by a hash into ``buckets`` first: no value occurs more often than its bucket. Those of the fullest
+    buckets are then counted themselves, and the last count of the best ``top`` is one that the bucket of any better value
+    must reach. The values of all buckets that reach it are counted in the end. Where the bounds decide nothing (all
+    values about as frequent, or fewer of them than ``top``) these are all buckets, and what is left is the plain grouping:
+    the result is exact in any case, ties included. Three scans of one column.
+
+    The list of buckets is a working table of at most ``buckets`` rows, which the two later scans are joined with.
+    """
+    scratch = Scratch(df.sparkSession, "top-values")
+    hashed = df.select(ref(column).alias("value"), F.pmod(F.xxhash64(ref(column)), F.lit(buckets)).alias("bucket"))
+    filled = scratch.settle(hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")))
+    fullest = filled.orderBy(F.desc("held"), "bucket").limit(top * FULLEST_PER_VALUE)
+
+    def counted(chosen: DataFrame) -> DataFrame:
+        return hashed.join(chosen.select("bucket"), "bucket", "left_semi").groupBy("value").count()
+
+    first = counted(fullest).orderBy(F.desc("count"), "value").limit(top)
+    reached = first.agg(F.when(F.count(F.lit(1)) == top, F.min("count")).alias("least")).first().least
+    enough = filled if reached is None else filled.where(F.col("held") >= reached)
+    best = counted(enough).orderBy(F.desc("count"), "value").limit(top)
+    best = df.sparkSession.createDataFrame(best.collect(), best.schema)
+    scratch.close()
+    return best.select(F.col("value").alias(column), "count")
+
+
 def rows_per_date(df: DataFrame, column: str = PARTITION_COLUMN, first: int | None = 10) -> DataFrame:
     """Rows per date, ascending; the first ten unless told otherwise."""
     counts = rows_per_value(df, column).orderBy(ref(column))

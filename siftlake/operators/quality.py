@@ -596,3 +596,23 @@ def report(results: DataFrame) -> DataFrame:
 def can_upload(results: DataFrame) -> bool:
     """The gate: a score of at least 70 and no FAIL."""
     return report(results).first()["can_upload"]
+
+
+def measured(df: DataFrame, suite: QualitySuite) -> DataFrame:
+    """``check, column, measure, value``: what the verdicts of schema and distribution do not say.
+
+    Every column that is missing, and every one that is there but not expected (none when the suite expects nothing); rows
+    in the smallest, the largest and the average partition, and the largest as a multiple of the average. An empty dataset
+    has 0 partitions and NULL for the rest; without the partition column there are no such rows.
+    """
+    expected, there = set(suite.expected_columns), set(df.columns)
+    named = [("schema", c, "missing", 1.0) for c in sorted(expected - there)]
+    named += [("schema", c, "extra", 1.0) for c in sorted(there - expected) if expected]
+    rows = df.sparkSession.createDataFrame(named, "check string, column string, measure string, value double")
+    column = suite.partition_column
+    if not column or column not in df.columns:
+        return rows
+    skew = partition_skew(df, column, suite.skew_factor).withColumn("ratio", F.col("max_rows") / F.col("avg_rows"))
+    measures = ("partitions", "min_rows", "max_rows", "avg_rows", "ratio")
+    pairs = F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures))
+    return rows.unionByName(skew.select(F.lit("distribution").alias("check"), F.lit(column).alias("column"), F.inline(pairs)))

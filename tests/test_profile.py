@@ -134,3 +134,39 @@ def test_one_key_form_for_texts_of_any_length(spark):
     for digest in (True, False):
         found = profile.duplicate_count(texts, ["t"], digest_keys=digest).first()
         assert tuple(found) == (7, 4, 3)
+
+
+def _cases(spark):
+    random = spark.range(6000).select((F.rand(3) * 4000).cast("int").alias("v"))
+    hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).cast("int").alias("v"))
+    unique = spark.range(2000).select(F.col("id").cast("int").alias("v"))
+    nulls = spark.range(500).select(F.expr("if(id % 2 = 0, null, int(id % 40))").alias("v"))
+    steps = spark.range(1, 121).select(F.explode(F.expr("array_repeat(int(id), int(id))")).alias("v"))
+    few = spark.range(50).select((F.col("id") % 3).cast("int").alias("v"))
+    return {"random": random, "hot": hot, "unique": unique, "nulls": nulls, "steps": steps, "few": few, "none": few.limit(0)}
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 300, 1 << 16])
+def test_top_values_are_those_of_the_whole_grouping(spark, buckets):
+    for name, df in _cases(spark).items():
+        expected = [tuple(r) for r in profile.value_frequency(df, "v", 9).collect()]
+        found = profile.top_values(df, "v", 9, buckets)
+        assert [tuple(r) for r in found.collect()] == expected, name
+        assert found.dtypes == profile.value_frequency(df, "v", 9).dtypes
+
+
+def test_top_values_look_at_buckets_beyond_the_first_choice(spark, monkeypatch):
+    """Four buckets filled by many rare values hide the one in which a frequent value is alone."""
+    monkeypatch.setattr(profile, "FULLEST_PER_VALUE", 1)
+    bucket = F.pmod(F.xxhash64("v"), F.lit(8))
+    numbers = spark.range(40000).withColumnRenamed("id", "v").withColumn("b", bucket)
+    crowd = numbers.where("b = 3").select("v")
+    alone = numbers.where("b = 5").limit(1).select("v", F.explode(F.expr("sequence(1, 50)"))).select("v")
+    both = crowd.unionAll(alone)
+    assert [tuple(r) for r in profile.top_values(both, "v", 1, 8).collect()] == [(alone.first().v, 50)]
+
+
+def test_top_values_of_odd_names_and_texts(spark):
+    df = spark.createDataFrame([("x", 1), ("", 2), (None, 3), ("x", 4), ("", 5), ("", 6)], "`a.b` string, bucket int")
+    assert [tuple(r) for r in profile.top_values(df, "a.b", 2).collect()] == [("", 3), ("x", 2)]
+    assert profile.top_values(df, "bucket").columns == ["bucket", "count"]

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftlake.functions.columns import with_partition_date
+from siftlake.operators import quality
 from siftlake.operators.quality import (
     CHECKS,
     QualitySuite,
@@ -273,3 +274,17 @@ def test_results_are_computed_once(spark):
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("again")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert "FileScan" not in results._jdf.queryExecution().toString() and len(jobs) <= 3
+
+
+def test_measured_names_extra_columns_and_the_size_of_partitions(spark):
+    df = spark.createDataFrame([(1, "a")] * 12 + [(2, "b")] * 3, "id int, part string")
+    suite = quality.QualitySuite(expected_columns=("id", "lost"), partition_column="part")
+    rows = {(r.check, r.column, r.measure): r.value for r in quality.measured(df, suite).collect()}
+    assert rows == {
+        ("schema", "lost", "missing"): 1, ("schema", "part", "extra"): 1, ("distribution", "part", "partitions"): 2,
+        ("distribution", "part", "min_rows"): 3, ("distribution", "part", "max_rows"): 12,
+        ("distribution", "part", "avg_rows"): 7.5, ("distribution", "part", "ratio"): 1.6,
+    }
+    empty = {r.measure: r.value for r in quality.measured(df.limit(0), suite).collect() if r.check == "distribution"}
+    assert empty["partitions"] == 0 and empty["ratio"] is None
+    assert quality.measured(df, quality.QualitySuite(partition_column=None)).count() == 0
