@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftlake.llm.sampling import sample
@@ -170,9 +170,21 @@ def fit(texts: pa.Array, languages: list[str], idf: np.ndarray) -> Model:
 
 def train(docs: DataFrame, limit: int = TRAIN_DOCUMENTS) -> Model | None:
     """A model from at most ``limit`` documents and ``SAMPLE_BYTES``, whose texts the driver holds while it fits; None
-    without any."""
+    without any.
+
+    Half of the places are shared evenly by the languages, so that rare ones are known, too, unless there are more than
+    half as many languages as places; the other places go by a hash of the id over all documents.
+    """
     rows = learnable(docs)
-    chosen = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).distinct()
+    names = rows.agg(F.count_distinct("lang").alias("n")).first().n
+    in_order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    share = limit // 2 // max(names, 1)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(*in_order))
+    chosen = rows.select("doc_id").orderBy(*in_order).limit(limit - share * names)
+    if share:
+        of_each = rows.select("doc_id", "lang").withColumn("place", place).where(F.col("place") <= share)
+        chosen = chosen.unionByName(of_each.select("doc_id"))
+    chosen = chosen.distinct()
     table = sample(rows.join(F.broadcast(chosen), "doc_id"))
     if not table.num_rows:
         return None

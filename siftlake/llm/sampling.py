@@ -17,10 +17,11 @@ def sample(rows: DataFrame, sample_bytes: int = SAMPLE_BYTES, text_bytes: int =
     """Of ``rows`` (``doc_id, text`` and more), of which there is a bounded number, one for each id, in the order of a hash of the id
     until the bytes are used up; by id.
 
-    Null texts have no bytes. No rows give an empty table.
+    Of several rows with an id the least by its other columns counts, so that reruns agree. Null texts have no bytes. No rows give an empty table.
     """
     scratch = Scratch(rows.sparkSession, "sample")
-    held = scratch.settle(rows.dropDuplicates(["doc_id"]), "rows")
+    others = F.struct(*(c for c in rows.columns if c != "doc_id"))
+    held = scratch.settle(rows.groupBy("doc_id").agg(F.min(others).alias("least")).select("doc_id", "least.*"), "rows")
     sizes = held.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
     sizes = sizes.where(F.col("bytes") <= text_bytes)
     # The number of rows is bounded: one task may order their ids.

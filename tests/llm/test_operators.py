@@ -625,3 +625,24 @@ def test_toxicity_learned_from_short_texts_only():
     scored = next(iter(crf_toxicity._score(model)([pa.RecordBatch.from_pydict({"text": texts})])))
     found = [s >= crf_toxicity.THRESHOLD for s in scored["score"].to_pylist()]
     assert found == [bool(y) for _, y in rows]
+
+
+def test_rare_languages_are_learned(spark):
+    """One language in 100 documents, of which 40 are learned from."""
+    rows = [(i, f"der und nicht sch ung {i}" if i % 100 else f"eau que est ment {i}", "de" if i % 100 else "fr") for i in range(1200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = ftrl_langid.train(table, 40)
+    assert model.languages == ["de", "fr"]
+    names, _ = ftrl_langid.predict(ftrl_langid.pa.array(["der und nicht sch ung 5", "eau que est ment 7"]), model)
+    assert names == ["de", "fr"]
+    many = table.selectExpr("doc_id", "text", "concat('l', doc_id % 30) AS lang")
+    assert len(ftrl_langid.train(many, 20).languages) <= 20
+
+
+def test_samples_of_repeated_ids_are_the_same_in_any_order(spark):
+    rows = [(k % 5, f"text {k}", f"l{k % 3}") for k in range(40)] + [(1, None, "l0")]
+    taken = [
+        sample(spark.createDataFrame(some, "doc_id long, text string, lang string").repartition(n)).to_pylist()
+        for n, some in ((1, rows), (4, rows[::-1]))
+    ]
+    assert taken[0] == taken[1] and [r["doc_id"] for r in taken[0]] == [*range(5)]
