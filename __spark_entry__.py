@@ -30,6 +30,7 @@ from siftlake.functions.columns import epoch_millis, stamp_ingest, with_partitio
 from siftlake.functions.predicates import is_negative, not_in_set
 from siftlake.operators import layers, mutations, profile, quality
 from siftlake.operators.quality import QualitySuite, findings, measured, report, run_checks
+from siftlake.operators.quality_store import PartitionChecks
 from siftlake.plans import lake_validation
 from siftlake.plans.export import event_suite, gated_export
 from siftlake.plans.flow import fill_layers, run_flow
@@ -280,6 +281,19 @@ def dq_run(spark, sf_dir):
     return run_checks(_flawed(spark, sf_dir), _suite()).select(_SHOWN)
 
 
+def dq_increments(spark, sf_dir):
+    """The checks of a dataset by date that grew in three steps, from what is kept per date."""
+    path, flawed = new_path(spark, "growing"), _flawed(spark, sf_dir)
+    for some, late in (("id % 3 = 1", False), ("id % 3 = 2", True), ("id % 3 = 0", True)):
+        batch = flawed.where(some)
+        if late:
+            batch.hint("rebalance", "ingestion_date").write.mode("append").partitionBy("ingestion_date").parquet(f"{path}/data")
+        else:
+            write_by_date(batch, f"{path}/data")
+        PartitionChecks(spark, f"{path}/data", f"{path}/store", _suite()).refresh()
+    return PartitionChecks(spark, f"{path}/data", f"{path}/store", _suite()).results().select(_SHOWN)
+
+
 def dq_findings(spark, sf_dir):
     return findings(run_checks(_flawed(spark, sf_dir), _suite()))
 
@@ -596,6 +610,7 @@ _QUERIES = (
     dq_custom,
     dq_broken_rule,
     dq_run,
+    dq_increments,
     dq_findings,
     dq_report,
     dq_export_suite,
@@ -960,6 +975,7 @@ def _own_sql() -> dict[str, str]:
             "CASE WHEN k > 0 THEN concat(k, ' rules failed') ELSE 'all rules passed' END", "10 * k", "FROM f",
         ),
         "dq_run": f"WITH {_SQL_FLAWED}, {ctes} {run}",
+        "dq_increments": f"WITH {_SQL_FLAWED}, {ctes} {run}",
         "dq_findings": _sql_findings(),
         "dq_report": _sql_report(),
         "dq_export_suite": _sql_export_suite(),

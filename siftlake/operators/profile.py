@@ -153,6 +153,11 @@ def _key(df: DataFrame, name: str, digest: bool) -> Column:
     return F.unhex(F.sha2(ref(name), 256)) if digest and is_text else ref(name)
 
 
+def key_columns(df: DataFrame, keys: list[str], digest_keys: bool = True) -> list[Column]:
+    """The columns of a key for grouping, ``key_0`` and so on; texts as digests."""
+    return [_key(df, k, digest_keys).alias(f"key_{i}") for i, k in enumerate(keys)]
+
+
 def duplicate_count(df: DataFrame, keys: list[str], digest_keys: bool = True) -> DataFrame:
     """``total_rows, distinct_keys, duplicates`` for a key; NULLs in a key equal each other.
 
@@ -160,7 +165,7 @@ def duplicate_count(df: DataFrame, keys: list[str], digest_keys: bool = True) ->
     every text of a key, whatever its length, stands for its SHA-256, so that 32 bytes of it are shuffled and two texts
     are equal when their digests are. ``digest_keys=False`` compares the texts themselves.
     """
-    keyed = df.select(*[_key(df, k, digest_keys).alias(f"key_{i}") for i, k in enumerate(keys)])
+    keyed = df.select(*key_columns(df, keys, digest_keys))
     per_key = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("copies"))
     return per_key.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
@@ -171,7 +176,12 @@ def duplicate_count(df: DataFrame, keys: list[str], digest_keys: bool = True) ->
 
 def partition_skew(df: DataFrame, column: str, factor: float = 10) -> DataFrame:
     """``partitions, min_rows, max_rows, avg_rows, skewed`` over the rows per value of a column."""
-    return rows_per_value(df, column).agg(
+    return skew_of(rows_per_value(df, column), factor)
+
+
+def skew_of(counts: DataFrame, factor: float = 10) -> DataFrame:
+    """The same of rows that were counted before, in ``count``."""
+    return counts.agg(
         F.count(F.lit(1)).alias("partitions"),
         F.min("count").alias("min_rows"),
         F.max("count").alias("max_rows"),

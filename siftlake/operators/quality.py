@@ -378,13 +378,17 @@ class Bounds:
         return self.low <= self.smallest and self.largest <= self.high and not self.infinite
 
 
+def _finite(df: DataFrame, name: str) -> str:
+    """The finite values of a column, as SQL; NaN is above infinity."""
+    c = quoted(name)
+    return f"case when abs({c}) < double('infinity') then {c} end" if is_fractional(df, name) else c
+
+
 def _spread_measures(df: DataFrame, names: list[str]) -> dict[str, _Measure]:
     measures = {}
     for i, name in enumerate(names):
-        c = quoted(name)
-        infinite = f"abs({c}) = double('infinity')" if is_fractional(df, name) else "false"
-        if is_fractional(df, name):  # NaN is above infinity
-            c = f"case when abs({c}) < double('infinity') then {c} end"
+        c = _finite(df, name)
+        infinite = f"abs({quoted(name)}) = double('infinity')" if is_fractional(df, name) else "false"
         # Integers stay exact: doubles round beyond 2^53.
         extreme = "{}" if is_integral(df, name) else "cast({} as double)"
         measures |= {
@@ -403,7 +407,9 @@ def _bounds(row: Mapping, names: list[str], sigma: float) -> dict[str, Bounds]:
     found = {}
     for i, name in enumerate(names):
         mean, deviation, infinite = row[f"avg_{i}"], row[f"stddev_{i}"], row[f"infinite_{i}"]
-        if mean is None or not deviation or not math.isfinite(mean) or not math.isfinite(deviation):
+        # Deviations of equal numbers, merged from tasks, may differ from 0 in their last digit.
+        spread = deviation if row[f"min_{i}"] != row[f"max_{i}"] else 0
+        if mean is None or not spread or not math.isfinite(mean) or not math.isfinite(spread):
             if infinite:
                 found[name] = Bounds(-sys.float_info.max, sys.float_info.max, 0.0, 0.0, infinite)
             continue
@@ -528,8 +534,10 @@ def _custom_measures(df: DataFrame, suite: QualitySuite) -> dict[str, _Measure]:
     return {name: measure for name, measure in measures.items() if _evaluable(df, [measure])}
 
 
-def _run(df: DataFrame, suite: QualitySuite, only: set[str], broken: frozenset[str] = frozenset()) -> DataFrame:
-    """The checks as one plan, with the shared scan computed where later ones need its numbers."""
+def _shared_parts(
+    df: DataFrame, suite: QualitySuite, only: Iterable[str], broken: frozenset[str] = frozenset()
+) -> tuple[dict[str, _Part], dict[str, _Measure]]:
+    """The checks of the shared scan and what they measure; a check that this schema can't answer is an error of its own."""
     builders = dict(_SHARED) | {"custom": lambda df, suite: _custom(df, suite, broken)}
     parts = {check: build(df, suite) for check, build in builders.items() if check in only}
     if not _evaluable(df, [m for part in parts.values() for m in part.measures.values()]):
@@ -540,6 +548,12 @@ def _run(df: DataFrame, suite: QualitySuite, only: set[str], broken: frozenset[s
     measures = {"rows": _Measure("*", F.count(F.lit(1)))}
     for part in parts.values():
         measures |= part.measures
+    return parts, measures
+
+
+def _run(df: DataFrame, suite: QualitySuite, only: set[str], broken: frozenset[str] = frozenset()) -> DataFrame:
+    """The checks as one plan, with the shared scan computed where later ones need its numbers."""
+    parts, measures = _shared_parts(df, suite, only, broken)
     numeric = numeric_columns(df) if "anomalies" in only else []
     measures |= _spread_measures(df, numeric)
     scans = [df.agg(*[measures[n].aggregate.alias(n) for n in names]) for names in _scans(measures)]

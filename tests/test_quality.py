@@ -288,3 +288,9 @@ def test_measured_names_extra_columns_and_the_size_of_partitions(spark):
     empty = {r.measure: r.value for r in quality.measured(df.limit(0), suite).collect() if r.check == "distribution"}
     assert empty["partitions"] == 0 and empty["ratio"] is None
     assert quality.measured(df, quality.QualitySuite(partition_column=None)).count() == 0
+
+
+def test_equal_numbers_have_no_outliers_however_they_are_spread(spark):
+    df = spark.range(0, 997, 1, 13).select(F.lit(0.1).alias("x")).union(spark.range(3).where("id > 5").select(F.lit(0.1)))
+    row = run_checks(df, QualitySuite(), only=["anomalies"]).first()
+    assert (row.status, row.violations, row.findings) == ("PASS", 0, [])
