@@ -23,6 +23,8 @@ MOST = 2
 SEED = "mix"
 # Rows that are put in order together; the number of such runs follows the number of rows.
 ROWS_PER_RUN = 10_000
+# Ranges that the finishes are dealt into, besides the square root of the number of copies.
+LEAST_RANGES = 1024
 # The columns of the result beside those of the documents.
 NEW = ("size", "source_size", "target", "copies", "taken")
 
@@ -144,34 +146,43 @@ def _mixed(
     ordered = _in_order(slim, planned, offsets, runs).withColumn("copy", F.explode(copies))
     queue = scratch.settle(ordered.select(_place(F.col("copy")).alias("at")), "queue")
     # As many ranges as a range has copies, so that neither many ranges nor a long one has to be put in order.
-    last = _last_taken(queue, total * share, math.isqrt(rows * most) + 1)
+    left = _first_left(queue, total * share, math.isqrt(rows * most) + LEAST_RANGES)
     ordered = _in_order(_measured(docs), planned, offsets, runs)
-    taken = F.lit(0)
-    if last is not None:
-        bound = F.struct(*(F.lit(last[f.name]).cast(f.dataType).alias(f.name) for f in queue.schema["at"].dataType))
+    taken = F.lit(most if total else 0)
+    if left is not None:
+        bound = F.struct(*(F.lit(left[f.name]).cast(f.dataType).alias(f.name) for f in queue.schema["at"].dataType))
+        taken = F.lit(0)
         for copy in range(most):
-            taken += (_place(F.lit(copy)) <= bound).cast("int")
+            taken += (_place(F.lit(copy)) < bound).cast("int")
     mixed = ordered.withColumn("copies", taken)
     mixed = mixed.withColumn("taken", F.col("size") * F.col("copies"))
     return mixed.select(*docs.columns, *NEW), own
 
 
-def _last_taken(queue: DataFrame, budget: float, ranges: int):
-    """Where the queue is cut: the last copy up to which all together are within the budget; None if there is none."""
-    latest = queue.agg(F.max("at.finish")).first()[0]
-    if not latest:
-        return None
-    within = queue.withColumn("range", F.floor(F.col("at.finish") / latest * ranges).cast("int"))
-    sums = within.groupBy("range").agg(F.sum("at.size").alias("of_range"))
-    running = sums.withColumn("upto", F.sum("of_range").over(Window.orderBy("range")))
-    crossed = running.where(F.col("upto") > budget).orderBy("range").first()
-    if crossed is None:
-        return queue.agg(F.max("at")).first()[0]
-    before = crossed["upto"] - crossed["of_range"]
+def _first_left(queue: DataFrame, budget: float, ranges: int):
+    """Where the queue is cut: the first copy that is not within the budget any more; None if all are.
+
+    Sizes are summed by equal ranges of the finish, then the range that the budget ends in by ranges of its own, and so on until
+    it holds no more than ``ranges`` copies. So the copies of a large source that finish close together among those of small
+    ones are not put in order by one task. Copies of one finish are not told apart that way, but each source has at most
+    ``most`` of these: copies without words, which may share one, can't exceed a budget and are not looked at.
+    """
+    within, before = queue.where("at.size > 0"), 0
+    finish = F.col("at.finish")
+    extent = (F.count(F.lit(1)).alias("held"), F.min(finish).alias("low"), F.max(finish).alias("high"))
+    found = within.agg(*extent).first()
+    while found.held > ranges and found.low < found.high:
+        at = F.floor((finish - F.lit(found.low)) / F.lit(found.high - found.low) * ranges)
+        dealt = within.groupBy(F.least(at, F.lit(ranges - 1)).alias("range")).agg(F.sum("at.size").alias("of_range"), *extent)
+        running = dealt.withColumn("upto", F.sum("of_range").over(Window.orderBy("range")) + F.lit(before))
+        found = running.where(F.col("upto") > budget).orderBy("range").first()
+        if found is None:
+            return None
+        before = found.upto - found.of_range
+        within = within.where(finish.between(found.low, found.high))
     exact = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    inside = within.where(F.col("range") == crossed["range"]).withColumn("upto", F.sum("at.size").over(exact) + before)
-    last = inside.where(F.col("upto") <= budget).agg(F.max("at")).first()[0]
-    return last or within.where(F.col("range") < crossed["range"]).agg(F.max("at")).first()[0]
+    upto = within.withColumn("upto", F.sum("at.size").over(exact) + F.lit(before))
+    return upto.where(F.col("upto") > budget).agg(F.min("at")).first()[0]
 
 
 def repeated(

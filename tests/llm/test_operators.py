@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from siftlake.llm import (
     cotraining_quality,
@@ -333,6 +334,27 @@ def test_mix_comes_near_its_targets(spark):
     assert repeated == {r.doc_id: r.copies for r in found if r.copies}
 
 
+@pytest.mark.parametrize("ranges", [2, 3, 64])
+def test_queue_is_cut_in_the_same_place_whatever_the_ranges(spark, ranges):
+    random = np.random.default_rng(ranges)
+    # Small sources that finish far out, a large one whose copies lie close together, equal finishes and empty documents.
+    rows = [(float(f), 1, 0, "d", i, int(s), 0) for i, (f, s) in enumerate(zip(random.random(900), random.integers(0, 9, 900)))]
+    rows += [(1e9 * i, 2 + i, 0, "d", 1000 + i, 1 + i % 3, 0) for i in range(60)]
+    rows += [(0.5, 100 + i, 0, "d", 2000 + i, i % 2 * 4, 0) for i in range(50)]
+    at = "finish double, place int, copy int, draw string, doc_id long, size long, tie long"
+    queue = spark.createDataFrame(rows, at).select(F.struct("*").alias("at"))
+    total = sum(r[5] for r in rows)
+    for budget in (0, 3, total * 0.4, total * 0.5, total - 40, total - 1, total, 2 * total):
+        upto, first = 0, None
+        for row in sorted(rows):
+            upto += row[5]
+            if upto > budget:
+                first = row
+                break
+        found = fair_mixing._first_left(queue, budget, ranges)
+        assert (found and tuple(found)) == first
+
+
 def test_graph_search_against_brute_force(spark):
     random = np.random.default_rng(2)
     vectors = random.normal(size=(1500, 12)).astype(np.float32)
