@@ -15,22 +15,20 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftlake.llm.batches import small_batches
 from siftlake.llm.tokens import Words, mix, slices, utf8
 from siftlake.workspace import Scratch
 
 # Texts of one shard, in bytes, and up to one text more.
 SHARD_BYTES = 3 << 19
-# Rows are handed to Python in batches of about so many bytes, in place of 10 000 rows whatever their size.
-BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 LEAST_COUNT = 10
 # A phrase goes when a longer one around it has at least this share of its occurrences, in hundredths.
 COVERED = 50
@@ -301,22 +299,11 @@ def _summed(counted: DataFrame, least: int) -> DataFrame:
     return sums.where((F.col("n") >= least) | (F.col("words") == 0))
 
 
-@contextmanager
-def _small_batches(spark: SparkSession):
-    setting, size = BATCH
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, size)
-    try:
-        yield
-    finally:
-        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
-
-
 def counted_phrases(docs: DataFrame, scratch: Scratch, least: int = LEAST_COUNT) -> tuple[DataFrame, DataFrame]:
     """``lang, words, phrase, n`` of words and pairs, and of triples, that occur at least so often; a row of no words has the
     number of all words of a language."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    with _small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession):
         counts = scratch.settle(_summed(texts.mapInArrow(_singles_and_pairs, _COUNTED), least), "pairs")
         frequent = docs.sparkSession.sparkContext.broadcast(_frequent_pairs(counts))
         triples = scratch.settle(_summed(texts.mapInArrow(_triples(frequent), _COUNTED), least), "triples")

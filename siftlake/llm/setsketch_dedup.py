@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftlake.llm import setsketch
+from siftlake.llm.batches import small_batches
 from siftlake.llm.columns import put_aside
 from siftlake.llm.components import components
 from siftlake.llm.tokens import MULTIPLIER, U64, Words, fixed_binary, lists, mix, over_batches, shingle_sets
@@ -338,9 +339,8 @@ def _between_components(
     return rows.mapInArrow(_by_block(_block_links), "a long, b long")
 
 
-def _found(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, node, component, component_id, kept`` for every row."""
-    scratch = Scratch(docs.sparkSession, "setsketch")
+def _labelled(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows, their distinct sets (nodes) and the component of each linked node."""
     sketched = scratch.settle(sketches(docs), "sketches")
     members = sketched.select("doc_id", "n_shingles", "node")
     nodes = (
@@ -362,7 +362,13 @@ def _found(docs: DataFrame) -> DataFrame:
     links = scratch.settle(_confirmed(best, _sets_of(ends, docs, nodes, scratch)), "links")
     labels = scratch.settle(components(links, scratch), "labels")
     more = scratch.settle(_between_components(shared, nodes, labels, docs, scratch), "links")
-    labels = scratch.settle(components(links.unionByName(more), scratch), "labels")
+    return members, nodes, scratch.settle(components(links.unionByName(more), scratch), "labels")
+
+
+def _found(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, node, component, component_id, kept`` for every row."""
+    with small_batches(docs.sparkSession):  # texts and sets are long
+        members, nodes, labels = _labelled(docs, Scratch(docs.sparkSession, "setsketch"))
     named = nodes.select("id", "node", "doc_id").join(labels.withColumnRenamed("node", "id"), "id", "left")
     named = named.withColumn("component", F.coalesce("component", "id"))
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -372,6 +378,7 @@ def _found(docs: DataFrame) -> DataFrame:
     kept = F.coalesce(F.col("doc_id") == own, F.lit(True))
     return rows.select("doc_id", "n_shingles", "node", "component", own.alias("component_id"), kept.alias("kept"))
 
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id, text``, other columns are left out).
 
