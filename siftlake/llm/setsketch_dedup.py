@@ -3,9 +3,10 @@
 1. Every document becomes its set of five-word shingles; equal sets become one node.
 2. Nodes that agree in a whole band of registers share a bucket. Each bucket pairs its members with its least member
    only. Pairs are estimated from both sketches; each node's best is checked on the full sets, unless far too low.
-3. The links found so far join nodes to components. Within a bucket, nodes of one component need no further link. Nodes
-   outside the largest component are compared with all members, in blocks: by estimate first, each pair in the first band
-   it shares, then the nodes with a likely partner on their full sets. A block reports links that join its components.
+3. The links found so far are a forest, since each leads to a lesser node, and its trees are components. Within a bucket,
+   nodes of one component need no further link. Nodes outside the largest component are compared with all members, in
+   blocks: by estimate first, each pair in the first band it shares, then the nodes with a likely partner on their full
+   sets. A block reports which of its components are one, and the graph of components alone is joined again.
 
 So a bucket of very many near copies costs a row per member, and a bucket whose members have nothing else in common is
 still compared in full: no bucket, partner or candidate is capped.
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from siftlake.llm import setsketch
 from siftlake.llm.batches import small_batches
 from siftlake.llm.columns import put_aside
-from siftlake.llm.components import components
+from siftlake.llm.components import least_reached, roots
 from siftlake.llm.tokens import MULTIPLIER, U64, Words, fixed_binary, lists, mix, over_batches, shingle_sets
 from siftlake.workspace import Scratch
 
@@ -264,8 +265,8 @@ def _shared_counts(sets: list[np.ndarray], others: int) -> np.ndarray:
 
 
 def _block_links(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Links checked on the full sets, of each block as many as join its components."""
-    ids, component = _numbers(table["id"]), _numbers(table["component"])
+    """Components that links checked on the full sets join, of each block: every one with the least it is joined to."""
+    component = _numbers(table["component"])
     codes = table["codes"].combine_chunks()
     bounds, values = np.asarray(codes.offsets), np.asarray(codes.values)
     found_a, found_b = [], []
@@ -285,19 +286,20 @@ def _block_links(table: pa.Table) -> Iterator[pa.RecordBatch]:
                 x = parent[x]
             return x
 
-        for i, j in zip(others[a].tolist(), members[b].tolist(), strict=True):
-            one, two = root(int(component[i])), root(int(component[j]))
+        for i, j in zip(component[others[a]].tolist(), component[members[b]].tolist(), strict=True):
+            one, two = root(i), root(j)
             if one != two:
                 parent[max(one, two)] = min(one, two)
-                found_a.append(ids[i])
-                found_b.append(ids[j])
+        joined = [x for x in parent if root(x) != x]
+        found_a += joined
+        found_b += map(root, joined)
     yield pa.RecordBatch.from_pydict({"a": np.array(found_a, np.int64), "b": np.array(found_b, np.int64)})
 
 
 def _between_components(
     shared: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, scratch: Scratch
 ) -> DataFrame:
-    """Checked links between nodes that share a bucket but no component yet: ``a, b``, enough to join what they join."""
+    """Components that checked links between nodes in one bucket join: ``a, b``, enough to join what all such links do."""
     placed = shared.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
         "bucket", "band", "id", "n_shingles", F.coalesce("component", "id").alias("component")
     )
@@ -339,8 +341,8 @@ def _between_components(
     return rows.mapInArrow(_by_block(_block_links), "a long, b long")
 
 
-def _labelled(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The rows, their distinct sets (nodes) and the component of each linked node."""
+def _labelled(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The rows, and their distinct sets (nodes) with the component of each."""
     sketched = scratch.settle(sketches(docs), "sketches")
     members = sketched.select("doc_id", "n_shingles", "node")
     nodes = (
@@ -360,17 +362,19 @@ def _labelled(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame,
     best = scratch.settle(best.select(F.col("best.a").alias("a"), "b"), "best")
     ends = best.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     links = scratch.settle(_confirmed(best, _sets_of(ends, docs, nodes, scratch)), "links")
-    labels = scratch.settle(components(links, scratch), "labels")
-    more = scratch.settle(_between_components(shared, nodes, labels, docs, scratch), "links")
-    return members, nodes, scratch.settle(components(links.unionByName(more), scratch), "labels")
+    labels = roots(links, scratch)
+    joined = least_reached(_between_components(shared, nodes, labels, docs, scratch), scratch)
+    nodes = nodes.select("id", "node", "doc_id").join(labels.withColumnRenamed("node", "id"), "id", "left")
+    nodes = nodes.withColumn("component", F.coalesce("component", "id"))
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    nodes = nodes.join(joined, "component", "left").withColumn("component", F.coalesce("least", "component"))
+    return members, nodes.select("node", "doc_id", "component")
 
 
 def _found(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, node, component, component_id, kept`` for every row."""
     with small_batches(docs.sparkSession):  # texts and sets are long
-        members, nodes, labels = _labelled(docs, Scratch(docs.sparkSession, "setsketch"))
-    named = nodes.select("id", "node", "doc_id").join(labels.withColumnRenamed("node", "id"), "id", "left")
-    named = named.withColumn("component", F.coalesce("component", "id"))
+        members, named = _labelled(docs, Scratch(docs.sparkSession, "setsketch"))
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.join(ids, "component").select("node", "component", "component_id")
     rows = members.join(named, "node", "left")
